@@ -156,20 +156,20 @@ def classify(cells: DataFrame, cuts: DataFrame) -> DataFrame:
     bin: number of cuts <= min(value, last cut).
     """
     arr = cuts.select(F.array_sort(F.collect_list(F.struct("i", "threshold")))).scalar()
-    # The cut array is one scalar subquery (run once, reused); Spark does not
-    # allow subqueries inside lambdas, so cuts are addressed by position.
-    cut = [F.element_at(arr, k + 1)["threshold"] for k in range(THRESHOLD_STEPS)]
+    # Attach the cut array once (one scalar subquery, run once); the class
+    # expressions then read the column, so lambdas see no subquery.
+    staged = cells.select("*", arr.alias("_cuts"))
+    cut = F.transform(F.col("_cuts"), lambda s: s["threshold"])
     v = F.col("value")
-    n_below = sum(F.when(c < v, 1).otherwise(0) for c in cut)
-    overflow = (cut[0] > 0) & (v < 0)
+    n_below = F.size(F.filter(cut, lambda c: c < v))
+    overflow = (F.element_at(cut, 1) > 0) & (v < 0)
     cls = F.when(v.isNull() | F.isnan(v), F.lit(None)) \
            .when(overflow, F.lit(1)).otherwise(n_below + 1)
-    top = F.least(v, cut[-1])
-    b = sum(F.when(c <= top, 1).otherwise(0) for c in cut)
-    return cells.select("*", cls.cast("int").alias("class"),
-                        F.when(v.isNotNull(), overflow).alias("overflow"),
-                        F.when(v.isNotNull(), v == 0).alias("zero"),
-                        F.when(v.isNotNull(), b).cast("int").alias("bin"))
+    b = F.size(F.filter(cut, lambda c: c <= F.least(v, F.element_at(cut, -1))))
+    return staged.select(*cells.columns, cls.cast("int").alias("class"),
+                         F.when(v.isNotNull(), overflow).alias("overflow"),
+                         F.when(v.isNotNull(), v == 0).alias("zero"),
+                         F.when(v.isNotNull(), b).cast("int").alias("bin"))
 
 
 def parse_thresholds(spec: str) -> list[float]:
