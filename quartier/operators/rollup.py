@@ -63,9 +63,11 @@ def rollup(readings: DataFrame, bucket: str = "1 minute",
     municipality, space, arg_room.
     """
     ops = [o.upper() for o in ops]
+    # On a stream the bucket is a window() struct: the watermark then lets the
+    # state of closed minutes be dropped.
+    bcol = F.window("time", bucket) if readings.isStreaming else bucket_start("time", bucket)
     r = (readings.filter(F.col("data_id").between(0, 3))
-                 .select(bucket_start("time", bucket).alias("bucket"),
-                         "data_id", "mun", "room_id", "time", "data"))
+                 .select(bcol.alias("bucket"), "data_id", "mun", "room_id", "time", "data"))
     sets = [["bucket", "data_id", *_LEVEL_KEYS[lv]] for lv in levels]
     aggs = [first_row().alias("first"), F.grouping_id().alias("gid")]
     if "MAX" in ops:
@@ -98,8 +100,9 @@ def rollup(readings: DataFrame, bucket: str = "1 minute",
     p = g.select("bucket", "data_id", "mun", "room_id", "level",
                  F.explode(F.array(*[cands[o]() for o in OPS if o in ops])).alias("p"))
     lv = F.col("level")
+    b = F.col("bucket.start") if readings.isStreaming else F.col("bucket")
     return p.select(
-        to_ntz("bucket").alias("bucket"),
+        to_ntz(b).alias("bucket"),
         "data_id",
         metric_name("data_id").alias("metric"),
         "level",

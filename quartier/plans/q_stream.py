@@ -1 +1,26 @@
 """Structured Streaming twins of the batch queries."""
+
+from ..streaming import jobs
+from . import sql as S
+from .catalog import register
+from .q_dash import _freq_top_sql
+
+
+@register("stream_rollup", S.rollup("date_trunc('minute', time)"))
+def q_stream_rollup(spark, sf):
+    """Batch layer as a streaming query (availableNow) == the batch roll-up."""
+    return jobs.run_rollup(spark, sf)
+
+
+@register("stream_frequent", _freq_top_sql(1))
+def q_stream_frequent(spark, sf):
+    """Speed layer: streamed pane counts, then top-1 per sliding window."""
+    return jobs.run_frequent(spark, sf, k=1)
+
+
+@register("stream_landing", f"{S.R} select time, mun, room_id, data_id, data, voltage from r")
+def q_stream_landing(spark, sf):
+    """Landing job (records -> dated text files) read back by the line parser."""
+    from ..functions.timefns import to_ntz
+    r = jobs.run_landing(spark, sf)
+    return r.select(to_ntz("time").alias("time"), "mun", "room_id", "data_id", "data", "voltage")

@@ -69,7 +69,7 @@ DEFECT_REASONS = ["fields", "id", "value", "time", "time", "empty"]
 
 
 def lines_from_events(ev: DataFrame) -> DataFrame:
-    """Render every event as a wire line (event_id, value).
+    """Render every event as a wire line (event_id, dt, value).
 
     Regular events become well-formed lines of their reading; ``error`` events
     become malformed lines with exactly one defect each.
@@ -77,7 +77,7 @@ def lines_from_events(ev: DataFrame) -> DataFrame:
     room = (F.col("user_id") % 54).cast("int")
     mun = (room % 19).cast("int")
     r = readings_from_events(ev)
-    good = r.select("event_id", format_line(
+    good = r.select("event_id", F.to_date("time").alias("dt"), format_line(
         F.col("time"), F.col("mun"), F.col("room_id"), F.col("data_id"),
         F.col("data"), F.col("voltage")).alias("value"))
     t = F.date_trunc("second", F.col("ts"))
@@ -95,7 +95,8 @@ def lines_from_events(ev: DataFrame) -> DataFrame:
          .when(k == 3, F.concat_ws(" ", date_s, F.concat(time_s, F.lit(".1234")), id3, val, volt))
          .when(k == 4, F.concat_ws(" ", F.date_format(t, "yyyy/MM/dd"), time_s, id3, val, volt))
          .otherwise(F.lit("")))
-    errors = ev.filter(F.col("event_type") == "error").select("event_id", bad.alias("value"))
+    errors = ev.filter(F.col("event_type") == "error").select(
+        "event_id", F.to_date(t).alias("dt"), bad.alias("value"))
     return good.unionByName(errors)
 
 
