@@ -17,8 +17,17 @@ from ..functions.timefns import FRAGMENTS, epoch_seconds, floor_seconds, js_roun
 AGGREGATES = ["AVG", "SUM", "CNT", "MIN", "MAX", "FIRST", "LAST"]
 
 
+def order_key(ts: Column, seq: Column) -> Column:
+    """Lossless single-value ordering of (ts, seq): ts_micros * 1e20 + (seq + 2^63)
+    as DECIMAL(38,0).  A decimal buffer keeps first/last hash-aggregated where a
+    struct ordering would force a sort-based aggregate."""
+    us = F.unix_micros(ts.cast("timestamp")).cast("decimal(38,0)")
+    shifted = seq.cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
+    return (us * F.lit(str(10 ** 20)).cast("decimal(38,0)") + shifted).cast("decimal(38,0)")
+
+
 def _agg(kind: str) -> Column:
-    v, order = F.col("value"), F.struct(F.col("ts"), F.col("seq"))
+    v, order = F.col("value"), order_key(F.col("ts"), F.col("seq"))
     return {"AVG": F.avg(v), "SUM": F.sum(v), "CNT": F.count(v), "MIN": F.min(v),
             "MAX": F.max(v), "FIRST": F.min_by(v, order), "LAST": F.max_by(v, order)}[kind]
 

@@ -44,6 +44,10 @@ def to_document(points: DataFrame) -> DataFrame:
     return points.select(F.to_json(doc).alias("value"))
 
 
+_FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date",
+                "timestamp", "timestamp_ntz")
+
+
 def last_write_wins(points: DataFrame, keys: Sequence[str] = ("metric", *TAG_COLUMNS,
                                                                "aggregate", "timestamp"),
                     order: str = "event_id") -> DataFrame:
@@ -51,9 +55,17 @@ def last_write_wins(points: DataFrame, keys: Sequence[str] = ("metric", *TAG_COL
 
     A hash aggregate with ``max_by`` rather than a row_number window: map-side
     partial aggregation collapses a hot key before the shuffle, so one huge
-    key never lands whole in one task.
+    key never lands whole in one task.  ``order`` must be unique per key (an
+    ingest sequence or batch id); then one primitive ``max_by`` per column
+    picks every column from the same row and keeps the aggregate hash-based
+    (a struct-valued buffer would force a sort-based aggregate).
     """
     others = [c for c in points.columns if c not in keys]
+    types = dict(points.dtypes)
+    if all(types[c] in _FIXED_WIDTH for c in others):
+        g = points.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col(order)).alias(c)
+                                        for c in others])
+        return g.select(*keys, *others)
     g = points.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order)).alias("_w"))
     return g.select(*keys, *[F.col("_w")[c].alias(c) for c in others])
