@@ -153,11 +153,12 @@ cl as (select list(threshold order by i) as cut from cuts)
 select domain_start, cell_start, value,
        case when value is null or isnan(value) then null
             when cut[1] > 0 and value < 0 then 1
-            else len(list_filter(cut, lambda c: c < value)) + 1 end as class,
+            else cast(len(list_filter(cut, lambda c: c < value)) + 1 as integer) end as class,
        case when value is not null then cut[1] > 0 and value < 0 end as overflow,
        case when value is not null then value = 0 end as zero,
        case when value is not null
-            then len(list_filter(cut, lambda c: c <= least(value, cut[9]))) end as bin
+            then cast(len(list_filter(cut, lambda c: c <= least(value, cut[9]))) as integer) end
+           as bin
 from cells, cl""")
 def q_calendar_class(spark, sf):
     s = _series(spark, sf, 2)
