@@ -3,7 +3,7 @@
 from ..streaming import jobs
 from . import sql as S
 from .catalog import register
-from .q_dash import _freq_top_sql
+from .q_dash import _RAW_SQL, _freq_top_sql
 
 
 @register("stream_rollup", S.rollup("date_trunc('minute', time)"))
@@ -24,3 +24,14 @@ def q_stream_landing(spark, sf):
     from ..functions.timefns import to_ntz
     r = jobs.run_landing(spark, sf)
     return r.select(to_ntz("time").alias("time"), "mun", "room_id", "data_id", "data", "voltage")
+
+
+@register("stream_batch_layer", f"""
+with rp as ({S.rollup("date_trunc('minute', time)")}),
+rw as ({S.R} {_RAW_SQL})
+select metric, timestamp, value, city, municipality, space, aggregate from rw
+union all
+select metric, timestamp, value, city, municipality, space, aggregate from rp""")
+def q_stream_batch_layer(spark, sf):
+    """Raw + roll-up points written by two streaming queries on one source."""
+    return jobs.run_batch_layer(spark, sf)

@@ -129,10 +129,26 @@ def read_frequent(spark: SparkSession, out_dir: str, k: int = 1, size: str = "1
     return fq._out(fq.top_k(fq.window_counts(panes, size, slide), k))
 
 
+def start_raw_points(readings: DataFrame, out_dir: str, checkpoint: str,
+                     available_now: bool = True, interval: str = "60 seconds") -> StreamingQuery:
+    """Raw datapoints of every reading, appended to the raw point table
+    (parquet partitioned by metric and day; the file sink's metadata log makes
+    the output exactly-once across restarts)."""
+    from ..operators.points import raw_points
+    # cluster by the partition keys: one file per (metric, day) per batch
+    # instead of one per task and partition
+    p = (raw_points(readings).withColumn("day", F.to_date(F.timestamp_seconds("timestamp")))
+         .repartition("metric", "day"))
+    w = (p.writeStream.format("parquet").partitionBy("metric", "day").outputMode("append")
+         .option("checkpointLocation", checkpoint).option("path", out_dir))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
 def start_landing(events: DataFrame, out_dir: str, checkpoint: str,
                   available_now: bool = True, interval: str = "5 seconds") -> StreamingQuery:
     """A5: land every record as a wire line in date-partitioned text files."""
-    lines = lines_from_events(events).select("dt", "value")
+    lines = lines_from_events(events).select("dt", "value").repartition("dt")
     w = (lines.writeStream.format("text").partitionBy("dt").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -157,6 +173,20 @@ def run_frequent(spark: SparkSession, sf_dir: str, k: int = 1) -> DataFrame:
     return read_frequent(spark, f"{base}/out", k)
 
 
+def run_batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batch-layer outputs from one source: raw points (stateless, append)
+    and roll-up points (stateful, update); returns the union as the store sees it."""
+    from ..operators.points import POINT_COLUMNS
+    base = scratch_path(spark, "batch-layer")
+    src = readings_from_events(event_stream(spark, sf_dir))
+    q1 = start_raw_points(src, f"{base}/raw", f"{base}/ckpt-raw")
+    q2 = start_rollup(src, f"{base}/rollup", f"{base}/ckpt-rollup")
+    q1.awaitTermination()
+    q2.awaitTermination()
+    raw = spark.read.parquet(f"{base}/raw").select(*POINT_COLUMNS)
+    return raw.unionByName(ro.datapoints(read_rollup(spark, f"{base}/rollup")))
+
+
 def run_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream-landing")
     q = start_landing(event_stream(spark, sf_dir), f"{base}/lines", f"{base}/ckpt")
