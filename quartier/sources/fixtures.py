@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import format_line
+from ..schema import EVENTS
 from ..session import ensure_utc
 
 # DuckDB (and Spark SQL) form of the same mapping; every oracle query starts
@@ -32,7 +33,9 @@ where event_type <> 'error'
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The events table with its known schema: no footer sampling for schema
+    inference on the driver, however many files the table has."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def readings_from_events(ev: DataFrame) -> DataFrame:
