@@ -40,7 +40,7 @@ def _bound(series: DataFrame, value, fn) -> Column:
 
 
 def carpet(series: DataFrame, fragment: str = "QUARTER", aggregate: str = "AVG",
-           start=None, end=None) -> DataFrame:
+           start=None, end=None, ordered: bool = False) -> DataFrame:
     """series(ts, value, seq) -> (day, slot, slot_start, value) for every slot of
     every day in [start of day(start), start of day(end) + 1 day).
 
@@ -61,9 +61,11 @@ def carpet(series: DataFrame, fragment: str = "QUARTER", aggregate: str = "AVG",
                   .filter((F.col("slot_start") >= d0)
                           & (F.col("slot_start") < d1 + F.expr("INTERVAL 1 DAY"))))
     agg = vals.groupBy("slot_start").agg(_agg(aggregate.upper()).alias("value"))
-    return (grid.join(agg, "slot_start", "left")
-                .select(F.to_date("day").alias("day"), F.col("slot").cast("int").alias("slot"),
-                        to_ntz("slot_start").alias("slot_start"), "value"))
+    out = (grid.join(agg, "slot_start", "left")
+               .select(F.to_date("day").alias("day"), F.col("slot").cast("int").alias("slot"),
+                       to_ntz("slot_start").alias("slot_start"), "value"))
+    # time-ordered output for display (a range sort of the bounded grid)
+    return out.orderBy("slot_start") if ordered else out
 
 
 def carpet_stats(cells: DataFrame) -> DataFrame:

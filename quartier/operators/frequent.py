@@ -88,10 +88,16 @@ def frequent_per_batch(readings: DataFrame, batch: str = "10 seconds", size: str
     """The reference's coded behaviour: values are grouped per batch before
     windowing, so each window's winner is the largest single-batch group among
     the window's batches (ties: lower temperature, then earlier batch)."""
+    return per_batch_winners(pane_counts(readings, batch, digits), batch, size)
+
+
+def per_batch_winners(batch_counts: DataFrame, batch: str = "10 seconds",
+                      size: str = "60 seconds") -> DataFrame:
+    """Winners per window from (pane = batch start epoch s, temperature, n)."""
     b, s = parse_duration(batch), parse_duration(size)
     k = s // b
-    c = pane_counts(readings, batch, digits)
-    fan = c.select(F.explode(_starts(F.col("pane"), k, b)).alias("ws"), "pane", "temperature", "n")
+    fan = batch_counts.select(F.explode(_starts(F.col("pane"), k, b)).alias("ws"), "pane",
+                              "temperature", "n")
     win = fan.groupBy("ws").agg(F.max_by(
         F.struct("temperature", "n", "pane"),
         F.struct(F.col("n"), -F.col("temperature"), -F.col("pane"))).alias("w"))

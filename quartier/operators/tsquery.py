@@ -59,10 +59,17 @@ def tsquery(store: DataFrame, metric: str, filters: Mapping[str, str] | None = N
     group-by tags, value.
     """
     df = store.filter(F.col("metric") == metric)
+    # A written point table is partitioned by metric and day: bound the day
+    # too, so the time range prunes partitions instead of scanning them.
+    has_day = "day" in store.columns
     if start is not None:
         df = df.filter(F.col("timestamp") >= start)
+        if has_day:
+            df = df.filter(F.col("day") >= F.to_date(F.timestamp_seconds(F.lit(start))))
     if end is not None:
         df = df.filter(F.col("timestamp") <= end)
+        if has_day:
+            df = df.filter(F.col("day") <= F.to_date(F.timestamp_seconds(F.lit(end))))
     for tag, spec in (filters or {}).items():
         df = df.filter(tag_predicate(tag, spec))
     gcols = [_TAG_COLUMN.get(g, g) for g in group_by]

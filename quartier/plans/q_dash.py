@@ -323,7 +323,7 @@ def q_frequent_theta(spark, sf):
     return fq.frequent_theta(fixtures.readings(spark, sf), theta=2)
 
 
-@register("frequent_per_batch", f"""{S.R},
+_PER_BATCH_SQL = f"""{S.R},
 t as (select cast(epoch(time) as bigint) as es, round_even(data, 0) as temperature
       from r where data_id = 0),
 p as (select es - es % 10 as pane, temperature, count(*) as n from t group by all),
@@ -334,7 +334,10 @@ x as (select *, row_number() over (partition by ws order by n desc, temperature,
 select make_timestamp(ws * 1000000) as window_start,
        make_timestamp((ws + 60) * 1000000) as window_end, temperature, cast(n as bigint) as n,
        make_timestamp(pane * 1000000) as batch_start
-from x where rn = 1""")
+from x where rn = 1"""
+
+
+@register("frequent_per_batch", _PER_BATCH_SQL)
 def q_frequent_per_batch(spark, sf):
     """Coded behaviour: largest single 10 s batch group within 60 s / 10 s windows."""
     return fq.frequent_per_batch(fixtures.readings(spark, sf))

@@ -3,7 +3,7 @@
 from ..streaming import jobs
 from . import sql as S
 from .catalog import register
-from .q_dash import _RAW_SQL, _freq_top_sql
+from .q_dash import _PER_BATCH_SQL, _RAW_SQL, _freq_top_sql
 
 
 @register("stream_rollup", S.rollup("date_trunc('minute', time)"))
@@ -35,3 +35,9 @@ select metric, timestamp, value, city, municipality, space, aggregate from rp"""
 def q_stream_batch_layer(spark, sf):
     """Raw + roll-up points written by two streaming queries on one source."""
     return jobs.run_batch_layer(spark, sf)
+
+
+@register("stream_frequent_per_batch", _PER_BATCH_SQL)
+def q_stream_frequent_per_batch(spark, sf):
+    """Speed layer as coded (10 s batches, 60 s / 10 s windows) on a stream."""
+    return jobs.run_per_batch(spark, sf)

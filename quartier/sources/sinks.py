@@ -29,11 +29,14 @@ def write_points(points: DataFrame, path: str, kind: str = "raw", mode: str = "a
        .format(fmt).save(target))
 
 
-def read_points(spark: SparkSession, path: str, kinds=("raw", "rollup")) -> DataFrame:
-    """The serving view: union of the written point tables."""
+def read_points(spark: SparkSession, path: str, kinds=("raw", "rollup"),
+                with_day: bool = False) -> DataFrame:
+    """The serving view: union of the written point tables (``with_day`` keeps
+    the partition column so metric/time filters prune partitions)."""
     out = None
+    cols = [*POINT_COLUMNS, "day"] if with_day else POINT_COLUMNS
     for k in kinds:
-        df = spark.read.parquet(f"{path.rstrip('/')}/{k}").select(*POINT_COLUMNS)
+        df = spark.read.parquet(f"{path.rstrip('/')}/{k}").select(*cols)
         out = df if out is None else out.unionByName(df)
     return out
 

@@ -129,6 +129,14 @@ def read_frequent(spark: SparkSession, out_dir: str, k: int = 1, size: str = "1
     return fq._out(fq.top_k(fq.window_counts(panes, size, slide), k))
 
 
+def read_per_batch(spark: SparkSession, out_dir: str, batch: str = "10 seconds",
+                   size: str = "60 seconds") -> DataFrame:
+    """Speed layer as coded: largest single-batch group per sliding window,
+    from pane counts streamed with ``slide = batch``."""
+    return fq.per_batch_winners(read_upserts(spark, out_dir, ["pane", "temperature"]),
+                                batch, size)
+
+
 def start_raw_points(readings: DataFrame, out_dir: str, checkpoint: str,
                      available_now: bool = True, interval: str = "60 seconds") -> StreamingQuery:
     """Raw datapoints of every reading, appended to the raw point table
@@ -187,6 +195,14 @@ def run_batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.unionByName(ro.datapoints(read_rollup(spark, f"{base}/rollup")))
 
 
+def run_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "stream-per-batch")
+    q = start_pane_counts(readings_from_events(event_stream(spark, sf_dir)), f"{base}/out",
+                          f"{base}/ckpt", slide="10 seconds", watermark="10 minutes")
+    q.awaitTermination()
+    return read_per_batch(spark, f"{base}/out")
+
+
 def run_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream-landing")
     q = start_landing(event_stream(spark, sf_dir), f"{base}/lines", f"{base}/ckpt")

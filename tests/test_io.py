@@ -87,3 +87,27 @@ def test_range_helpers(make_readings):
     assert ranges.in_range(r, lo, hi).count() == 2
     assert ranges.drill_down(r, datetime(2024, 1, 1, 10), "hour").count() == 1
     assert ranges.drill_down(r, datetime(2024, 1, 1), "day").count() == 2
+
+
+def test_tsquery_prunes_point_partitions(spark):
+    from quartier.operators import tsquery
+    base = scratch_path(spark, "prune")
+    rows = [("light", 1704067200 + d * 86400 + 60, float(d), "Brussels", 1, 2, "RAW")
+            for d in range(5)]
+    rows += [("humidity", 1704067200 + 60, 9.0, "Brussels", 1, 2, "RAW")]
+    p = spark.createDataFrame(rows, "metric string, timestamp long, value double, city string, "
+                                    "municipality int, space int, aggregate string")
+    sinks.write_points(p, base, "raw", mode="overwrite")
+    store = sinks.read_points(spark, base, kinds=("raw",), with_day=True)
+    q = tsquery.tsquery(store, "light", start=1704067200 + 86400, end=1704067200 + 2 * 86400 + 3600)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(metric" in plan and "day#" in plan.split("PartitionFilters")[1]
+    assert sorted(r["value"] for r in q.collect()) == [1.0, 2.0]
+
+
+def test_carpet_ordered_output(spark):
+    from quartier.operators import carpet as cp
+    s = spark.createDataFrame([(datetime(2024, 1, 2, 5), 1.0, 1), (datetime(2024, 1, 1, 3), 2.0, 2)],
+                              "ts timestamp, value double, seq long")
+    got = [r["slot_start"] for r in cp.carpet(s, "HOUR", "AVG", ordered=True).collect()]
+    assert got == sorted(got) and len(got) == 48
