@@ -92,6 +92,19 @@ def _start(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "update",
     return w.start()
 
 
+SINK_SALT = 8
+
+
+def salted_cluster(df: DataFrame, keys: list[str], spread: list[str],
+                   salt: int = SINK_SALT) -> DataFrame:
+    """Cluster a stream by its output partition keys before a partitioned file
+    sink: at most ``salt`` files per partition and micro-batch, and a hot
+    partition (one day holding a third of the rows) is spread over ``salt``
+    tasks instead of one.  (AQE's rebalance does not apply to streams.)"""
+    s = F.pmod(F.hash(*[F.col(c) for c in spread]), F.lit(salt))
+    return df.repartition(*[F.col(k) for k in keys], s)
+
+
 # -- jobs -------------------------------------------------------------------------------
 
 ROLLUP_KEYS = ["bucket", "data_id", "metric", "level", "aggregate", "city", "municipality_key",
@@ -143,10 +156,8 @@ def start_raw_points(readings: DataFrame, out_dir: str, checkpoint: str,
     (parquet partitioned by metric and day; the file sink's metadata log makes
     the output exactly-once across restarts)."""
     from ..operators.points import raw_points
-    # cluster by the partition keys: one file per (metric, day) per batch
-    # instead of one per task and partition
-    p = (raw_points(readings).withColumn("day", F.to_date(F.timestamp_seconds("timestamp")))
-         .repartition("metric", "day"))
+    p = salted_cluster(raw_points(readings).withColumn(
+        "day", F.to_date(F.timestamp_seconds("timestamp"))), ["metric", "day"], ["space", "timestamp"])
     w = (p.writeStream.format("parquet").partitionBy("metric", "day").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -156,7 +167,7 @@ def start_raw_points(readings: DataFrame, out_dir: str, checkpoint: str,
 def start_landing(events: DataFrame, out_dir: str, checkpoint: str,
                   available_now: bool = True, interval: str = "5 seconds") -> StreamingQuery:
     """A5: land every record as a wire line in date-partitioned text files."""
-    lines = lines_from_events(events).select("dt", "value").repartition("dt")
+    lines = salted_cluster(lines_from_events(events).select("dt", "value"), ["dt"], ["value"])
     w = (lines.writeStream.format("text").partitionBy("dt").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)

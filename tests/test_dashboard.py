@@ -131,3 +131,18 @@ def test_tag_filters_and_aggregators(spark):
     assert [r["value"] for r in out] == [99.0]
     out = tq.tsquery(store, "t", {"city": "literal_or(brussels)"}).collect()
     assert out == []
+
+
+def test_negative_value_with_positive_cuts_is_class_one_overflow(spark):
+    cells = spark.createDataFrame([(datetime(2024, 1, 1), datetime(2024, 1, 1), -3.0),
+                                   (datetime(2024, 1, 1), datetime(2024, 1, 1, 1), 0.0),
+                                   (datetime(2024, 1, 1), datetime(2024, 1, 1, 2), 50.0),
+                                   (datetime(2024, 1, 1), datetime(2024, 1, 1, 3), None)],
+                                  "domain_start timestamp, cell_start timestamp, value double")
+    cuts = spark.createDataFrame([(i, 10.0 * (i + 1)) for i in range(9)], "i int, threshold double")
+    got = {r["cell_start"].hour: (r["class"], r["overflow"], r["zero"], r["bin"])
+           for r in cal.classify(cells, cuts).collect()}
+    assert got[0] == (1, True, False, 0)
+    assert got[1] == (1, False, True, 0)
+    assert got[2] == (6, False, False, 5)
+    assert got[3] == (None, None, None, None)
