@@ -144,5 +144,5 @@ def test_negative_value_with_positive_cuts_is_class_one_overflow(spark):
            for r in cal.classify(cells, cuts).collect()}
     assert got[0] == (1, True, False, 0)
     assert got[1] == (1, False, True, 0)
-    assert got[2] == (6, False, False, 5)
+    assert got[2] == (5, False, False, 5)      # 50 <= cut[4] = 50
     assert got[3] == (None, None, None, None)
