@@ -84,6 +84,15 @@ def read_upserts(spark: SparkSession, out_dir: str, keys: Sequence[str]) -> Data
     return last_write_wins(df, keys=list(keys), order="batch_id").drop("batch_id")
 
 
+def compact_upserts(spark: SparkSession, out_dir: str, keys: Sequence[str],
+                    snapshot_dir: str) -> DataFrame:
+    """Fold all written micro-batches into one deduplicated snapshot table in
+    shared storage (cuts the growing batch history and the read lineage);
+    returns the snapshot as read back."""
+    read_upserts(spark, out_dir, keys).write.mode("overwrite").parquet(snapshot_dir)
+    return spark.read.parquet(snapshot_dir)
+
+
 def _start(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "update",
            available_now: bool = True, interval: str = "60 seconds") -> StreamingQuery:
     w = (df.writeStream.outputMode(mode).foreachBatch(batch_writer(out_dir))

@@ -75,3 +75,20 @@ def test_landing_round_trip(spark):
     r = jobs.run_landing(spark, SF)
     want = fixtures.readings(spark, SF).drop("event_id")
     assert r.drop("dt").exceptAll(want).count() == 0 and r.count() == want.count()
+
+
+def test_runner_starts_all_layers(spark):
+    from quartier.streaming import run
+    base = scratch_path(spark, "runner")
+    a = run.parser().parse_args(["--source", "events", "--path", SF, "--out", base,
+                                 "--available-now"])
+    qs = run.start_all(spark, a)
+    for q in qs:
+        q.awaitTermination()
+    assert len(qs) == 4
+    raw = spark.read.parquet(base + "/points/raw")
+    assert raw.count() == fixtures.readings(spark, SF).count()
+    snap = jobs.compact_upserts(spark, base + "/points/rollup_batches", jobs.ROLLUP_KEYS,
+                                base + "/points/rollup")
+    assert snap.count() == rollup.rollup(fixtures.readings(spark, SF)).count()
+    assert spark.read.text(base + "/landing").count() == fixtures.events(spark, SF).count()
