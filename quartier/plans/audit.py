@@ -53,11 +53,15 @@ def audit(df) -> dict:
         flags.append("single-partition exchange")
     if re.search(r"Window \[.*\], \[\]", body):
         flags.append("window without partition key")
+    aggs = sorted({a for a in ("HashAggregate", "SortAggregate", "ObjectHashAggregate")
+                   if re.search(rf"\b{a}\(", body)})
     return {
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|"
                                    r"RoundRobinPartitioning|SinglePartition)", body)),
         "broadcasts": body.count("BroadcastExchange"),
         "scans": body.count("FileScan") + body.count("Scan parquet"),
+        "aggregates": aggs,
+        "window_limit": "WindowGroupLimit" in body,
         "flags": flags,
     }
 
@@ -65,6 +69,7 @@ def audit(df) -> dict:
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--markdown", action="store_true")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     from ..session import get_session
@@ -73,11 +78,19 @@ def main(argv=None) -> int:
     spark = get_session("local[8]", shuffle_partitions=8,
                         extra={"spark.sql.adaptive.enabled": "false"})
     bad = 0
+    if a.markdown:
+        print("| query | shuffles | broadcasts | aggregates | notes |")
+        print("|---|---|---|---|---|")
     for n in a.names or list(QUERIES):
         r = audit(QUERIES[n](spark, a.sf))
         bad += bool(r["flags"])
-        print(f"{n:28s} shuffles={r['shuffles']:2d} broadcasts={r['broadcasts']} "
-              f"scans={r['scans']} flags={r['flags']}")
+        if a.markdown:
+            notes = ", ".join(r["flags"] + (["WindowGroupLimit"] if r["window_limit"] else []))
+            print(f"| `{n}` | {r['shuffles']} | {r['broadcasts']} | "
+                  f"{', '.join(r['aggregates']) or '-'} | {notes or '-'} |")
+        else:
+            print(f"{n:28s} shuffles={r['shuffles']:2d} broadcasts={r['broadcasts']} "
+                  f"scans={r['scans']} aggs={r['aggregates']} flags={r['flags']}")
     return 1 if bad else 0
 
 
