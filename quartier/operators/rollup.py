@@ -1,9 +1,12 @@
 """Per-bucket MAX / MIN / SUM / COUNT roll-ups at city, municipality and space level.
 
-One ``GROUPING SETS`` aggregate produces every (measure x operator x level)
-output of a bucket in a single pass with map-side partial aggregation, and
-an ``explode`` of four structs unpivots the operators.  The hot city-level
-group costs one partial row per task, never a whole group in one task.
+Batch: readings are first combined into partials per (bucket, measure, room,
+municipality), then one ``GROUPING SETS`` aggregate over the partials yields
+every (measure x operator x level) output of the bucket, and an ``explode``
+of four structs unpivots the operators.  Both aggregates combine map-side, so
+the hot city-level group costs one partial row per task, never a whole group
+in one task.  Streaming: a single grouping-sets aggregate on the windowed
+bucket (one stateful operator, state evicted by the watermark).
 
 MAX / MIN keep the arg-row (its own time, municipality and room).  NaN is
 skipped unless every value of the group is NaN; ties go to the earliest time,
@@ -40,13 +43,15 @@ def _row() -> Column:
 def arg_max_row(data="data", time="time", room="room_id") -> Column:
     """Row with the largest non-NaN value, earliest time, lowest room."""
     us = F.unix_micros(F.col(time))
-    key = F.when(~F.isnan(F.col(data)), F.struct(F.col(data), -us, -F.col(room)))
+    ok = F.col(data).isNotNull() & ~F.isnan(F.col(data))
+    key = F.when(ok, F.struct(F.col(data), -us, -F.col(room)))
     return F.max_by(_row(), key)
 
 
 def arg_min_row(data="data", time="time", room="room_id") -> Column:
     us = F.unix_micros(F.col(time))
-    key = F.when(~F.isnan(F.col(data)), F.struct(F.col(data), us, F.col(room)))
+    ok = F.col(data).isNotNull() & ~F.isnan(F.col(data))
+    key = F.when(ok, F.struct(F.col(data), us, F.col(room)))
     return F.min_by(_row(), key)
 
 
@@ -54,6 +59,39 @@ def first_row(time="time", room="room_id") -> Column:
     return F.min_by(_row(), F.struct(F.unix_micros(F.col(time)), F.col(room)))
 
 
+def _row_aggs(ops: Sequence[str]) -> list[Column]:
+    aggs = [first_row().alias("first")]
+    if "MAX" in ops:
+        aggs.append(arg_max_row().alias("mx"))
+    if "MIN" in ops:
+        aggs.append(arg_min_row().alias("mn"))
+    if "SUM" in ops:
+        aggs.append(F.sum("data").alias("s"))
+    if "COUNT" in ops:
+        aggs.append(F.count(F.lit(1)).alias("c"))
+    return aggs
+
+
+def _merge_aggs(ops: Sequence[str]) -> list[Column]:
+    """Combine partial rows: the same arg-row rules applied to the partials'
+    representative rows (a NULL partial -- all NaN -- is skipped)."""
+    def key(c: str, sign: int) -> Column:
+        v, t, room = F.col(f"{c}.v"), F.unix_micros(F.col(f"{c}.t")), F.col(f"{c}.r")
+        # isnan(NULL) is false: an all-NaN partial (NULL) must not get a key
+        return F.when(F.col(c).isNotNull() & ~F.isnan(v), F.struct(v, t * sign, room * sign))
+    aggs = [F.min_by(F.col("first"), F.struct(F.unix_micros(F.col("first.t")),
+                                               F.col("first.r"))).alias("first")]
+    if "MAX" in ops:
+        aggs.append(F.max_by(F.col("mx"), key("mx", -1)).alias("mx"))
+    if "MIN" in ops:
+        aggs.append(F.min_by(F.col("mn"), key("mn", 1)).alias("mn"))
+    if "SUM" in ops:
+        aggs.append(F.sum("s").alias("s"))
+    if "COUNT" in ops:
+        aggs.append(F.sum("c").alias("c"))
+    return aggs
+
+
 def rollup(readings: DataFrame, bucket: str = "1 minute",
            ops: Sequence[str] = OPS, levels: Sequence[str] = LEVELS) -> DataFrame:
     """Long-form roll-up points.
@@ -65,20 +103,22 @@ def rollup(readings: DataFrame, bucket: str = "1 minute",
     ops = [o.upper() for o in ops]
     # On a stream the bucket is a window() struct: the watermark then lets the
     # state of closed minutes be dropped.
-    bcol = F.window("time", bucket) if readings.isStreaming else bucket_start("time", bucket)
+    streaming = readings.isStreaming
+    bcol = F.window("time", bucket) if streaming else bucket_start("time", bucket)
     r = (readings.filter(F.col("data_id").between(0, 3))
                  .select(bcol.alias("bucket"), "data_id", "mun", "room_id", "time", "data"))
     sets = [["bucket", "data_id", *_LEVEL_KEYS[lv]] for lv in levels]
-    aggs = [first_row().alias("first"), F.grouping_id().alias("gid")]
-    if "MAX" in ops:
-        aggs.append(arg_max_row().alias("mx"))
-    if "MIN" in ops:
-        aggs.append(arg_min_row().alias("mn"))
-    if "SUM" in ops:
-        aggs.append(F.sum("data").alias("s"))
-    if "COUNT" in ops:
-        aggs.append(F.count(F.lit(1)).alias("c"))
-    g = r.groupingSets(sets, "bucket", "data_id", "mun", "room_id").agg(*aggs)
+    keys = ["bucket", "data_id", "mun", "room_id"]
+    if streaming:
+        # one stateful aggregation (update mode allows no chained aggregates)
+        g = r.groupingSets(sets, *keys).agg(*_row_aggs(ops), F.grouping_id().alias("gid"))
+    else:
+        # Two stages: partials per (bucket, measure, room, municipality) from
+        # the raw rows, then the three levels from the partials.  The grouping
+        # sets expand the (much fewer) partials instead of every reading;
+        # measured 1.3-1.5x faster than expanding raw rows (see PLANS.md).
+        part = r.groupBy(*keys).agg(*_row_aggs(ops))
+        g = part.groupingSets(sets, *keys).agg(*_merge_aggs(ops), F.grouping_id().alias("gid"))
 
     def point(op: str, value: Column, rep: Column) -> Column:
         return F.struct(F.lit(op).alias("op"), value.cast("double").alias("value"),

@@ -71,7 +71,13 @@ def test_reaggregate_equals_direct(spark):
     r = fixtures.readings(spark, "/root/testdata/sf0.001")
     a = rollup.reaggregate(rollup.rollup(r, "1 minute"), "hour")
     b = rollup.rollup(r, "hour")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # identical except for float summation order in SUM (last-bit differences)
+    keys = [c for c in a.columns if c != "value"]
+    assert a.count() == b.count() > 0
+    b2 = b.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("value").alias("v2"))
+    j = a.join(b2, [a[k].eqNullSafe(b2[f"b_{k}"]) for k in keys], "inner")
+    assert j.count() == a.count()
+    assert j.filter(F.abs(F.col("value") - F.col("v2")) > 1e-12 * F.abs(F.col("v2"))).count() == 0
 
 
 def test_avg_from_rollups_matches_raw(spark):
@@ -85,8 +91,11 @@ def test_avg_from_rollups_matches_raw(spark):
     assert j.filter(F.abs(F.col("avg_value") - F.col("x")) > 1e-9).count() == 0
 
 
-def test_rollup_plan_single_shuffle(spark):
+def test_rollup_plan_two_combining_stages(spark):
+    # partials per room, then grouping sets over partials: two exchanges, each
+    # after a map-side partial aggregate; Expand runs on partials, not readings
     from quartier.sources import fixtures
     df = rollup.rollup(fixtures.readings(spark, "/root/testdata/sf0.001"))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Expand" in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and "Expand" in plan
+    assert plan.count("partial_max_by") >= 2
