@@ -20,9 +20,10 @@ from ..schema import MUNICIPALITY_MODULUS
 
 # Accepted literal forms.
 TIME_PATTERN = "yyyy-M-d H:m:s"
+CANONICAL_TIME_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 INT_RE = r"^[+-]?[0-9]+$"
-FLOAT_RE = (r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-            r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$")
+NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+SPECIAL_RE = r"^[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
 
 PARSED_COLUMNS = ["time", "mun", "room_id", "data_id", "data", "voltage"]
 
@@ -33,17 +34,23 @@ def _to_int(s: Column) -> Column:
 
 def _to_float(s: Column) -> Column:
     # Spark also casts '1d' / '1f'; the regex keeps to the literal forms the
-    # reference accepts, and maps inf/nan spellings to Spark's.
+    # reference accepts.  Plain numbers take one regex and a cast; only the
+    # rare inf/nan spellings reach the slower branch.
     lowered = F.lower(s)
-    special = (F.when(lowered.rlike(r"^[+]?inf(inity)?$"), F.lit(float("inf")))
-                .when(lowered.rlike(r"^-inf(inity)?$"), F.lit(float("-inf")))
-                .when(lowered.rlike(r"^[+-]?nan$"), F.lit(float("nan"))))
-    return F.when(s.rlike(FLOAT_RE), F.coalesce(special, s.try_cast("double")))
+    special = (F.when(lowered.startswith("-") & lowered.contains("inf"), F.lit(float("-inf")))
+                .when(lowered.contains("inf"), F.lit(float("inf")))
+                .otherwise(F.lit(float("nan"))))
+    return (F.when(s.rlike(NUMBER_RE), s.try_cast("double"))
+             .when(s.rlike(SPECIAL_RE), special))
 
 
 def _parse_time(date_s: Column, time_s: Column, allow_fraction: bool) -> Column:
     if not allow_fraction:
-        return F.try_to_timestamp(F.concat_ws(" ", date_s, time_s), F.lit(TIME_PATTERN))
+        txt = F.concat_ws(" ", date_s, time_s)
+        # zero-padded text (the common case) goes through the native cast, far
+        # cheaper than a pattern formatter; other forms use the pattern
+        return F.when(txt.rlike(CANONICAL_TIME_RE), txt.try_cast("timestamp")) \
+                .otherwise(F.try_to_timestamp(txt, F.lit(TIME_PATTERN)))
     frac = F.regexp_extract(time_s, r"\.([0-9]{1,6})$", 1)
     whole = F.regexp_replace(time_s, r"\.[0-9]{1,6}$", "")
     base = F.try_to_timestamp(F.concat_ws(" ", date_s, whole), F.lit(TIME_PATTERN))
