@@ -270,14 +270,16 @@ def q_tsquery_filter(spark, sf):
 @register("tsquery_group", f"""{S.R}, st as ({_RAW_SQL}),
 ps as (select timestamp - timestamp % 600 as b, city, municipality, space, aggregate,
               sum(value) as v from st
-       where metric = 'humidity' and aggregate = 'RAW' and municipality in (1, 2, 3)
+       where metric = 'humidity' and aggregate = 'RAW'
+             and lower(city) in ('brussels', 'bruxelles')
        group by all)
 select 'humidity' as metric, make_timestamp(b * 1000000) as bucket, municipality,
        cast(sum(v) as double) as value from ps group by b, municipality""")
 def q_tsquery_group(spark, sf):
-    """humidity per municipality 1|2|3 (groupBy), 10-minute sums, summed across spaces."""
+    """humidity grouped by municipality (groupBy tag), city = iliteral_or(Brussels|Bruxelles),
+    10-minute sums per series, summed across the spaces of each municipality."""
     return tsquery.tsquery(_store(spark, sf), "humidity",
-                           {"_aggregate": "RAW", "municipality": "iliteral_or(1|2|3)"},
+                           {"_aggregate": "RAW", "city": "iliteral_or(Brussels|Bruxelles)"},
                            group_by=["municipality"], downsample="10 minutes", ds_agg="sum",
                            aggregator="sum")
 
