@@ -49,6 +49,21 @@ def tag_predicate(tag: str, spec: str) -> Column:
     return col == spec
 
 
+def aggregate_values(filters: Mapping[str, str] | None) -> set[str] | None:
+    """Which point tables an ``_aggregate`` filter can match (None = all).
+
+    The store keeps raw points and roll-up points apart and the ``_aggregate``
+    tag selects between them; resolving it before building the store means
+    unmatched tables (and roll-up operators) are never read or computed.
+    """
+    spec = (filters or {}).get("_aggregate")
+    if spec is None:
+        return None
+    m = re.fullmatch(r"i?literal_or\((.*)\)", spec.strip())
+    vals = m.group(1).split("|") if m else ([spec.strip()] if "*" not in spec else None)
+    return None if vals is None else {v.upper() for v in vals}
+
+
 def tsquery(store: DataFrame, metric: str, filters: Mapping[str, str] | None = None,
             group_by: Sequence[str] = (), downsample: str | None = None,
             ds_agg: str = "avg", aggregator: str = "sum",

@@ -232,9 +232,18 @@ _RAW_SQL = (f"select {S.METRIC_CASE} as metric, cast(epoch(time) as bigint) as t
             f"'RAW' as aggregate from r where data_id between 0 and 3")
 
 
-def _store(spark, sf):
+def _store(spark, sf, filters=None):
+    """Raw and roll-up point tables, only those the ``_aggregate`` filter can match."""
+    from ..schema import OPS, RAW_TAG
+    want = tsquery.aggregate_values(filters)
     r = fixtures.readings(spark, sf)
-    return points.serving_union(points.raw_points(r), rollup.datapoints(rollup.rollup(r)))
+    parts = []
+    if want is None or RAW_TAG in want:
+        parts.append(points.raw_points(r))
+    ops = [o for o in OPS if want is None or o in want]
+    if ops:
+        parts.append(rollup.datapoints(rollup.rollup(r, ops=ops)))
+    return points.serving_union(*parts)
 
 
 @register("tsquery_downsample", f"""{S.R}, st as ({_RAW_SQL}),
@@ -245,8 +254,8 @@ select 'temperature' as metric, make_timestamp(b * 1000000) as bucket, city,
        cast(max(v) as double) as value from ps group by b, city""")
 def q_tsquery_downsample(spark, sf):
     """temperature, _aggregate=RAW, downsample 1m avg, max across series by city."""
-    return tsquery.tsquery(_store(spark, sf), "temperature",
-                           {"_aggregate": "literal_or(RAW)"}, group_by=["city"],
+    f = {"_aggregate": "literal_or(RAW)"}
+    return tsquery.tsquery(_store(spark, sf, f), "temperature", f, group_by=["city"],
                            downsample="1 minute", ds_agg="avg", aggregator="max")
 
 
@@ -261,10 +270,9 @@ select 'temperature' as metric, make_timestamp(b * 1000000) as bucket, city,
 def q_tsquery_filter(spark, sf):
     """The documented dashboard query: city = iliteral_or(Brussels) groupBy,
     _aggregate = iliteral_or(MAX), downsample 1m avg, aggregator max."""
-    return tsquery.tsquery(_store(spark, sf), "temperature",
-                           {"city": "iliteral_or(brussels)", "_aggregate": "iliteral_or(max)"},
-                           group_by=["city"], downsample="1 minute", ds_agg="avg",
-                           aggregator="max")
+    f = {"city": "iliteral_or(brussels)", "_aggregate": "iliteral_or(max)"}
+    return tsquery.tsquery(_store(spark, sf, f), "temperature", f, group_by=["city"],
+                           downsample="1 minute", ds_agg="avg", aggregator="max")
 
 
 @register("tsquery_group", f"""{S.R}, st as ({_RAW_SQL}),
@@ -278,8 +286,8 @@ select 'humidity' as metric, make_timestamp(b * 1000000) as bucket, municipality
 def q_tsquery_group(spark, sf):
     """humidity grouped by municipality (groupBy tag), city = iliteral_or(Brussels|Bruxelles),
     10-minute sums per series, summed across the spaces of each municipality."""
-    return tsquery.tsquery(_store(spark, sf), "humidity",
-                           {"_aggregate": "RAW", "city": "iliteral_or(Brussels|Bruxelles)"},
+    f = {"_aggregate": "RAW", "city": "iliteral_or(Brussels|Bruxelles)"}
+    return tsquery.tsquery(_store(spark, sf, f), "humidity", f,
                            group_by=["municipality"], downsample="10 minutes", ds_agg="sum",
                            aggregator="sum")
 
