@@ -22,8 +22,12 @@ def duck(sf_dir: str):
     import duckdb
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
+    import os
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.isdir(path):
+            path = f"{path}/*.parquet"
+        con.execute(f"create view {t} as select * from read_parquet('{path}')")
     return con
 
 
@@ -104,21 +108,57 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     return res
 
 
+def compare_via_parquet(spark, name: str, sf_dir: str, con) -> dict:
+    """Scalable check: Spark writes the result to the shared folder, DuckDB
+    diffs it against the oracle (EXCEPT ALL both ways, doubles rounded to 6
+    decimals).  Nothing is collected to the driver."""
+    from ..session import scratch_path
+    from .catalog import ORACLE, QUERIES
+    t0 = time.time()
+    df = QUERIES[name](spark, sf_dir)
+    out = scratch_path(spark, f"verify-{name}")
+    df.write.mode("overwrite").parquet(out)
+    res = {"name": name, "spark_sec": round(time.time() - t0, 2)}
+    types = dict(df.dtypes)
+    cols = sorted(df.columns)
+
+    def norm(c: str) -> str:
+        return f'round("{c}", 6) as "{c}"' if types[c] in ("double", "float") else f'"{c}"'
+    sel = ", ".join(norm(c) for c in cols)
+    s_rel = f"select {sel} from read_parquet('{out}/*.parquet')"
+    res["spark_rows"] = con.sql(f"select count(*) from ({s_rel})").fetchall()[0][0]
+    if name not in ORACLE:
+        res["status"] = "rows-only"
+        return res
+    o_rel = f"select {sel} from ({ORACLE[name]})"
+    n_o, only_s, only_o = con.sql(
+        f"select (select count(*) from ({o_rel})), "
+        f"(select count(*) from ({s_rel} except all {o_rel})), "
+        f"(select count(*) from ({o_rel} except all {s_rel}))").fetchall()[0]
+    res["duck_rows"] = n_o
+    res["status"] = "match" if only_s == only_o == 0 and n_o == res["spark_rows"] else \
+        f"differ: {only_s} spark-only, {only_o} oracle-only rows"
+    return res
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--parquet", action="store_true",
+                    help="diff through written parquet (for large scale factors)")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     from ..session import get_session
     from .catalog import QUERIES, load_all
     load_all()
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=16 if a.parquet else 8,
+                        extra={"spark.driver.memory": "16g"})
     con = duck(a.sf)
     names = a.names or list(QUERIES)
     failed = 0
     for n in names:
         try:
-            r = compare(spark, n, a.sf, con)
+            r = (compare_via_parquet if a.parquet else compare)(spark, n, a.sf, con)
         except Exception as e:  # report and continue with the next query
             r = {"name": n, "status": f"error: {type(e).__name__}: {str(e)[:300]}"}
         ok = r["status"] in ("match", "rows-only")

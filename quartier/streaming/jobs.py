@@ -29,13 +29,27 @@ from ..sources.fixtures import lines_from_events, readings_from_events
 
 # -- sources ------------------------------------------------------------------------
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    """Directory test through the Hadoop FileSystem (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The driver's events table read as a file stream (stand-in for Kafka)."""
+    """The driver's events table read as a file stream (stand-in for Kafka).
+
+    The table is either one file next to the other tables or a directory of
+    part files (the usual layout at scale); both are streamed."""
     ensure_utc(spark)
-    rs = (spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet"))
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    rs = spark.readStream.schema(EVENTS)
     if max_files:
         rs = rs.option("maxFilesPerTrigger", max_files)
-    return rs.parquet(sf_dir)
+    if _is_dir(spark, table):
+        return rs.parquet(table)
+    return rs.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def line_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
