@@ -162,10 +162,10 @@ def classify(cells: DataFrame, cuts: DataFrame) -> DataFrame:
     cut = F.transform(F.col("_cuts"), lambda s: s["threshold"])
     v = F.col("value")
     n_below = F.size(F.filter(cut, lambda c: c < v))
-    overflow = (F.element_at(cut, 1) > 0) & (v < 0)
+    overflow = (F.try_element_at(cut, F.lit(1)) > 0) & (v < 0)
     cls = F.when(v.isNull() | F.isnan(v), F.lit(None)) \
            .when(overflow, F.lit(1)).otherwise(n_below + 1)
-    b = F.size(F.filter(cut, lambda c: c <= F.least(v, F.element_at(cut, -1))))
+    b = F.size(F.filter(cut, lambda c: c <= F.least(v, F.try_element_at(cut, F.lit(-1)))))
     return staged.select(*cells.columns, cls.cast("int").alias("class"),
                          F.when(v.isNotNull(), overflow).alias("overflow"),
                          F.when(v.isNotNull(), v == 0).alias("zero"),

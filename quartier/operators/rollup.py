@@ -32,7 +32,7 @@ _LEVEL_OF_GID = {3: "city", 1: "municipality", 2: "space"}
 def metric_name(data_id: Column | str) -> Column:
     """data_id -> measure name (NULL outside 0..3)."""
     c = F.col(data_id) if isinstance(data_id, str) else data_id
-    return F.element_at(F.array(*[F.lit(m) for m in MEASURES]), c + 1)
+    return F.get(F.array(*[F.lit(m) for m in MEASURES]), c)
 
 
 def _row() -> Column:
@@ -133,7 +133,7 @@ def rollup(readings: DataFrame, bucket: str = "1 minute",
         "SUM": lambda: point("SUM", F.col("s"), first),
         "COUNT": lambda: point("COUNT", F.col("c"), first),
     }
-    level = F.element_at(F.create_map(*[x for gid, lv in _LEVEL_OF_GID.items()
+    level = F.try_element_at(F.create_map(*[x for gid, lv in _LEVEL_OF_GID.items()
                                         for x in (F.lit(gid), F.lit(lv))]), F.col("gid"))
     g = g.select("bucket", "data_id", "mun", "room_id", level.alias("level"),
                  *[c for c in ("first", "mx", "mn", "s", "c") if c in g.columns])

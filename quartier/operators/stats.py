@@ -36,7 +36,7 @@ def last_period(readings: DataFrame, n: int, unit: str,
 
 
 def _level_col() -> Column:
-    return F.element_at(F.create_map(*[x for gid, lv in _LEVEL_OF_GID.items()
+    return F.try_element_at(F.create_map(*[x for gid, lv in _LEVEL_OF_GID.items()
                                        for x in (F.lit(gid), F.lit(lv))]), F.grouping_id())
 
 
