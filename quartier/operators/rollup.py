@@ -174,14 +174,16 @@ def reaggregate(points: DataFrame, bucket: str) -> DataFrame:
     val, ts, room = F.col("value"), F.col("timestamp"), F.col("arg_room")
     row = F.struct(val.alias("v"), ts.alias("t"), F.col("municipality").alias("m"),
                    room.alias("r"))
-    hi = F.max_by(row, F.when((agg == "MAX") & ~F.isnan(val), F.struct(val, -ts, -room)))
-    lo = F.min_by(row, F.when((agg == "MIN") & ~F.isnan(val), F.struct(val, ts, room)))
-    first = F.min_by(row, F.struct(ts, room))
-    g = p.groupBy(*keys).agg(hi.alias("hi"), lo.alias("lo"), first.alias("first"),
+    # Each group holds one operator, so one arg-row aggregate serves all four:
+    # MAX ranks by value, MIN by -value, SUM/COUNT by nothing; then earliest
+    # time, lowest room.  NaN rows rank below every number (flag 0), so they
+    # win only when the whole group is NaN -- the "skip NaN" rule.
+    ok = F.when(agg.isin("MAX", "MIN"), ~F.isnan(val)).otherwise(F.lit(True))
+    signed = (F.when(agg == "MAX", val).when(agg == "MIN", -val).otherwise(F.lit(0.0)))
+    key = F.struct(ok.cast("int"), F.when(ok, signed).otherwise(F.lit(0.0)), -ts, -room)
+    g = p.groupBy(*keys).agg(F.max_by(row, key).alias("rep"),
                              F.sum(F.when(agg.isin("SUM", "COUNT"), val)).alias("total"))
-    rep = (F.when(agg == "MAX", F.coalesce(F.col("hi"), F.col("first")))
-            .when(agg == "MIN", F.coalesce(F.col("lo"), F.col("first")))
-            .otherwise(F.col("first")))
+    rep = F.col("rep")
     value = F.when(agg.isin("SUM", "COUNT"), F.col("total")).otherwise(rep["v"])
     return g.select(
         to_ntz("nb").alias("bucket"), "data_id", "metric", "level", "aggregate",
