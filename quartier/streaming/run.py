@@ -50,8 +50,9 @@ def start_all(spark: SparkSession, a) -> list:
                                     a.available_now, f"{a.interval} seconds"))
     qs.append(jobs.start_rollup(readings, f"{out}/points/rollup_batches", f"{out}/_ckpt/rollup",
                                 watermark=a.watermark, **trig))
+    speed = {"available_now": a.available_now, "interval": f"{a.speed_interval} seconds"}
     qs.append(jobs.start_pane_counts(readings, f"{out}/speed/panes", f"{out}/_ckpt/panes",
-                                     watermark="1 hour", **trig))
+                                     watermark="1 hour", **speed))
     return qs
 
 
@@ -64,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--out", required=True, help="shared output / checkpoint root")
     ap.add_argument("--id-parts", type=int, default=3)
     ap.add_argument("--interval", type=int, default=60, help="batch-layer trigger (s)")
+    ap.add_argument("--speed-interval", type=int, default=10, help="speed-layer trigger (s)")
     ap.add_argument("--landing-interval", type=int, default=5)
     ap.add_argument("--watermark", default="10 minutes")
     ap.add_argument("--max-files", type=int)
