@@ -21,3 +21,56 @@ def round4(col: Column | str) -> Column:
 def modulo(col: Column | str, n: int) -> Column:
     """Non-negative modulo, e.g. municipality = room % 19."""
     return F.pmod(col, F.lit(n))
+
+
+# Fixed value: readings carry four decimals on the wire, so sums are taken in
+# exact integer units of 10^-4.
+FIXED_DECIMALS = 4
+_UNIT_LIMIT = 2.0 ** 53
+
+
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def fixed_units(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
+    """Value in integer units of 10^-decimals (floor(x*10^d + 0.5)); NULL for
+    NaN, +-inf and magnitudes beyond 2^53 units, which ``spill`` keeps."""
+    c = _col(col)
+    x = c * float(10 ** decimals)
+    ok = c.isNotNull() & ~F.isnan(c) & (F.abs(x) < F.lit(_UNIT_LIMIT))
+    return F.when(ok, F.floor(x + 0.5).cast("long"))
+
+
+def spill(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
+    """The values ``fixed_units`` cannot hold, as plain doubles."""
+    c = _col(col)
+    x = c * float(10 ** decimals)
+    ok = ~F.isnan(c) & (F.abs(x) < F.lit(_UNIT_LIMIT))
+    return F.when(c.isNotNull() & ~ok, c)
+
+
+def combine_sums(units_total: Column, spill_total: Column,
+                 decimals: int = FIXED_DECIMALS) -> Column:
+    """units / 10^d + spilled doubles (NaN / inf propagate as in a double sum)."""
+    return (F.coalesce(units_total, F.lit(0)).cast("double") / float(10 ** decimals)
+            + F.coalesce(spill_total, F.lit(0.0)))
+
+
+def exact_sum(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
+    """SUM aggregate that is exact for values with at most ``decimals``
+    decimals: integer units added in a long, so the result does not depend on
+    summation order (partitioning, engine).  Hash-aggregatable (primitive
+    buffers).  Sums of such sums can be summed again exactly."""
+    return combine_sums(F.sum(fixed_units(col, decimals)), F.sum(spill(col, decimals)), decimals)
+
+
+def exact_avg(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
+    return exact_sum(col, decimals) / F.count(_col(col))
+
+
+def exact_sum_wide(col: Column | str, decimals: int) -> Column:
+    """As ``exact_sum`` with a DECIMAL(38,0) unit total (for squares, whose
+    unit totals can exceed a long)."""
+    units = fixed_units(col, decimals).cast("decimal(38,0)")
+    return combine_sums(F.sum(units), F.sum(spill(col, decimals)), decimals)

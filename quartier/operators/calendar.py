@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_sum, exact_sum_wide
 from ..functions.timefns import sunday_week_start, to_ntz
 from .points import last_write_wins
 
@@ -100,7 +101,7 @@ def calendar_cells(series: DataFrame, domain: str, sub_domain: str, start=None,
             .filter((ts >= d0) & (ts < d_end))
             .groupBy(trunc(ts, domain, week_start_monday).alias("domain_start"),
                      trunc(ts, sub_domain, week_start_monday).alias("cell_start"))
-            .agg(F.sum("value").alias("value")))
+            .agg(exact_sum("value").alias("value")))
     doms = spark.range(1).select(F.explode(
         F.sequence(d0, d0 + _step(domain, n - 1), _step(domain))).alias("domain_start"))
     grid = doms.select("domain_start", F.explode(F.sequence(
@@ -133,10 +134,11 @@ def thresholds(series: DataFrame, sub_domain: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     cells = (dedupe(series).filter(~F.isnan("value"))
              .groupBy(_threshold_cell(ts, sub_domain).alias("cell"))
-             .agg(F.sum("value").alias("v")))
+             .agg(exact_sum("value").alias("v")))
     st = cells.groupBy(F.lit(1).alias("_k")).agg(
-        F.count(F.lit(1)).alias("c"), F.sum("v").alias("s"),
-        F.sum(F.col("v") * F.col("v")).alias("ss"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+        F.count(F.lit(1)).alias("c"), exact_sum("v").alias("s"),
+        exact_sum_wide(F.col("v") * F.col("v"), 8).alias("ss"),
+        F.min("v").alias("mn"), F.max("v").alias("mx"))
     avg = F.col("s") / F.col("c")
     sd = F.sqrt((F.col("ss") - avg * avg) / F.col("c"))
     lo = F.greatest(F.col("mn"), avg - sd * 1.5)

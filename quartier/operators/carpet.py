@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_avg, exact_sum
 from ..functions.timefns import FRAGMENTS, epoch_seconds, floor_seconds, js_round, to_ntz
 
 AGGREGATES = ["AVG", "SUM", "CNT", "MIN", "MAX", "FIRST", "LAST"]
@@ -28,7 +29,7 @@ def order_key(ts: Column, seq: Column) -> Column:
 
 def _agg(kind: str) -> Column:
     v, order = F.col("value"), order_key(F.col("ts"), F.col("seq"))
-    return {"AVG": F.avg(v), "SUM": F.sum(v), "CNT": F.count(v), "MIN": F.min(v),
+    return {"AVG": exact_avg(v), "SUM": exact_sum(v), "CNT": F.count(v), "MIN": F.min(v),
             "MAX": F.max(v), "FIRST": F.min_by(v, order), "LAST": F.max_by(v, order)}[kind]
 
 

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import combine_sums, exact_sum, fixed_units, spill
 from ..functions.timefns import bucket_start, epoch_seconds, to_ntz
 from ..schema import CITY, LEVELS, MEASURES, OPS
 
@@ -65,8 +66,8 @@ def _row_aggs(ops: Sequence[str]) -> list[Column]:
         aggs.append(arg_max_row().alias("mx"))
     if "MIN" in ops:
         aggs.append(arg_min_row().alias("mn"))
-    if "SUM" in ops:
-        aggs.append(F.sum("data").alias("s"))
+    if "SUM" in ops:   # exact: integer units + spilled non-finite values
+        aggs += [F.sum(fixed_units("data")).alias("su"), F.sum(spill("data")).alias("sp")]
     if "COUNT" in ops:
         aggs.append(F.count(F.lit(1)).alias("c"))
     return aggs
@@ -86,7 +87,7 @@ def _merge_aggs(ops: Sequence[str]) -> list[Column]:
     if "MIN" in ops:
         aggs.append(F.min_by(F.col("mn"), key("mn", 1)).alias("mn"))
     if "SUM" in ops:
-        aggs.append(F.sum("s").alias("s"))
+        aggs += [F.sum("su").alias("su"), F.sum("sp").alias("sp")]
     if "COUNT" in ops:
         aggs.append(F.sum("c").alias("c"))
     return aggs
@@ -130,13 +131,13 @@ def rollup(readings: DataFrame, bucket: str = "1 minute",
                              F.coalesce(F.col("mx"), first)),
         "MIN": lambda: point("MIN", F.coalesce(F.col("mn"), first)["v"],
                              F.coalesce(F.col("mn"), first)),
-        "SUM": lambda: point("SUM", F.col("s"), first),
+        "SUM": lambda: point("SUM", combine_sums(F.col("su"), F.col("sp")), first),
         "COUNT": lambda: point("COUNT", F.col("c"), first),
     }
     level = F.try_element_at(F.create_map(*[x for gid, lv in _LEVEL_OF_GID.items()
                                         for x in (F.lit(gid), F.lit(lv))]), F.col("gid"))
     g = g.select("bucket", "data_id", "mun", "room_id", level.alias("level"),
-                 *[c for c in ("first", "mx", "mn", "s", "c") if c in g.columns])
+                 *[c for c in ("first", "mx", "mn", "su", "sp", "c") if c in g.columns])
     p = g.select("bucket", "data_id", "mun", "room_id", "level",
                  F.explode(F.array(*[cands[o]() for o in OPS if o in ops])).alias("p"))
     lv = F.col("level")
@@ -182,7 +183,7 @@ def reaggregate(points: DataFrame, bucket: str) -> DataFrame:
     signed = (F.when(agg == "MAX", val).when(agg == "MIN", -val).otherwise(F.lit(0.0)))
     key = F.struct(ok.cast("int"), F.when(ok, signed).otherwise(F.lit(0.0)), -ts, -room)
     g = p.groupBy(*keys).agg(F.max_by(row, key).alias("rep"),
-                             F.sum(F.when(agg.isin("SUM", "COUNT"), val)).alias("total"))
+                             exact_sum(F.when(agg.isin("SUM", "COUNT"), val)).alias("total"))
     rep = F.col("rep")
     value = F.when(agg.isin("SUM", "COUNT"), F.col("total")).otherwise(rep["v"])
     return g.select(
@@ -201,7 +202,7 @@ def avg_from_rollups(points: DataFrame) -> DataFrame:
     # at space level the municipality tag is the same on the SUM and COUNT
     # points (both come from the group's first reading)
     return (p.groupBy(*keys)
-             .agg((F.sum(F.when(agg == "SUM", F.col("value")))
+             .agg((exact_sum(F.when(agg == "SUM", F.col("value")))
                    / F.sum(F.when(agg == "COUNT", F.col("value")))).alias("avg_value"),
                   F.sum(F.when(agg == "COUNT", F.col("value"))).cast("long").alias("n")))
 

@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_avg, exact_sum
 from ..functions.timefns import bucket_start, interval, slot_index, to_ntz
 from ..schema import DAY_NIGHT_THRESHOLD, LEVELS
 from .rollup import metric_name
@@ -49,7 +50,7 @@ def space_stats(readings: DataFrame, levels: Sequence[str] = LEVELS,
     g = r.groupingSets(sets, *keys, "mun", "room_id").agg(
         _level_col().alias("level"),
         F.max("data").alias("max_value"), F.min("data").alias("min_value"),
-        F.avg("data").alias("avg_value"), F.count(F.lit(1)).alias("n"))
+        exact_avg("data").alias("avg_value"), F.count(F.lit(1)).alias("n"))
     return g.select(*extra_keys, metric_name("data_id").alias("metric"), "level",
                     F.col("mun").alias("municipality"), F.col("room_id").alias("space"),
                     "max_value", "min_value", "avg_value", "n")
@@ -78,7 +79,7 @@ def slot_classes(readings: DataFrame, slot: str = "15 minutes",
     sets = [["slot_start", *_LEVEL_KEYS[lv]] for lv in levels]
     g = t.groupingSets(sets, "slot_start", "mun", "room_id").agg(
         F.grouping("mun").alias("g_mun"), F.grouping("room_id").alias("g_room"),
-        F.sum("data").alias("sum_temp"), F.count(F.lit(1)).alias("n"))
+        exact_sum("data").alias("sum_temp"), F.count(F.lit(1)).alias("n"))
     level = (F.when((F.col("g_mun") == 1) & (F.col("g_room") == 1), F.lit("city"))
               .when(F.col("g_room") == 1, F.lit("municipality"))
               .otherwise(F.lit("space")))
@@ -104,7 +105,7 @@ def slot_rollup(readings: DataFrame, last_n: int, last_unit: str, bucket: str,
     g = (slots.groupBy("level", "municipality", "space", b.alias("bucket"))
               .agg(F.sum(F.when(F.col("period") == "daytime", 1).otherwise(0)).alias("daytime_slots"),
                    F.sum(F.when(F.col("period") == "nighttime", 1).otherwise(0)).alias("nighttime_slots"),
-                   F.sum("sum_temp").alias("sum_temp"), F.sum("n").alias("n")))
+                   exact_sum("sum_temp").alias("sum_temp"), F.sum("n").alias("n")))
     avg = F.col("sum_temp") / F.col("n")
     return g.select("level", "municipality", "space", to_ntz("bucket").alias("bucket"),
                     "daytime_slots", "nighttime_slots", "n", avg.alias("avg_temp"),

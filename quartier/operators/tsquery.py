@@ -23,7 +23,8 @@ _TAG_COLUMN = {"_aggregate": "aggregate"}
 
 def _agg(name: str, c: Column) -> Column:
     name = name.lower()
-    fns = {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.count,
+    from ..functions.numeric import exact_avg, exact_sum
+    fns = {"sum": exact_sum, "min": F.min, "max": F.max, "avg": exact_avg, "count": F.count,
            "dev": F.stddev_pop, "first": F.first, "last": F.last}
     if name in ("first", "last"):
         raise ValueError("first/last need an order; use min_by/max_by")

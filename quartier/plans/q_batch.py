@@ -84,13 +84,13 @@ def q_rollup_reaggregate_hour(spark, sf):
 @register("rollup_avg", f"""{S.R},
 b as (select date_trunc('minute', time) as bucket, * from r where data_id between 0 and 3)
 select bucket, {S.METRIC_CASE} as metric, 'city' as level, 'Brussels' as city,
-       null::integer as municipality, null::integer as space, avg(data) as avg_value,
+       null::integer as municipality, null::integer as space, {S.xavg('data')} as avg_value,
        count(*) as n from b group by bucket, data_id
 union all
-select bucket, {S.METRIC_CASE}, 'municipality', 'Brussels', mun, null::integer, avg(data),
+select bucket, {S.METRIC_CASE}, 'municipality', 'Brussels', mun, null::integer, {S.xavg('data')},
        count(*) from b group by bucket, data_id, mun
 union all
-select bucket, {S.METRIC_CASE}, 'space', 'Brussels', mun, room_id, avg(data), count(*)
+select bucket, {S.METRIC_CASE}, 'space', 'Brussels', mun, room_id, {S.xavg('data')}, count(*)
 from b group by bucket, data_id, mun, room_id""")
 def q_rollup_avg(spark, sf):
     """AVG derived from the SUM and COUNT roll-ups equals AVG of the raw data."""
@@ -132,7 +132,7 @@ _SLOT_ROLLUPS = {"hour": (7, "days"), "day": (14, "days"), "week": (1, "month"),
 
 
 def _slot_rollup_sql(bucket: str, n: int, unit: str) -> str:
-    avg = "sum(sum_temp) / sum(n)"
+    avg = f"{S.xsum('sum_temp')} / sum(n)"
     return f"""{S.R}, p as ({S.last_period(n, unit)}), {S.slots('p')},
 c as (select *, {S.DAY_NIGHT.format(a='sum_temp / n')} as period from s)
 select level, municipality, space, date_trunc('{bucket}', slot_start) as bucket,

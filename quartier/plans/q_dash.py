@@ -30,7 +30,7 @@ def _series_sql(data_id: int) -> str:
 
 # -- carpet --------------------------------------------------------------------------
 
-_CARPET_AGG_SQL = {"AVG": "avg(value)", "SUM": "sum(value)", "CNT": "count(value)",
+_CARPET_AGG_SQL = {"AVG": S.xavg("value"), "SUM": S.xsum("value"), "CNT": "count(value)",
                    "MIN": "min(value)", "MAX": "max(value)",
                    "FIRST": "arg_min(value, {'t': ts, 's': seq})",
                    "LAST": "arg_max(value, {'t': ts, 's': seq})"}
@@ -106,7 +106,7 @@ g as (select domain_start,
                                     domain_start + interval 1 {domain} - interval 1 second,
                                     interval 1 {su})) as cell_start from doms),
 v as (select date_trunc('{domain}', ts) as domain_start, date_trunc('{su}', ts) as cell_start,
-             sum(value) as value
+             {S.xsum('value')} as value
       from dd, p where not isnan(value) and ts >= d0 and ts < d0 + {_TO[domain]}(n)
       group by 1, 2),
 cells as (select g.domain_start, g.cell_start, v.value
@@ -132,9 +132,10 @@ for _k, (_d, _s) in _CALENDARS.items():
 def _thresholds_cte(data_id: int, sub: str) -> str:
     return f"""
 td as (select ts, arg_max(value, seq) as value from s group by ts),
-tc as (select date_trunc('{sub}', ts) as cell, sum(value) as v from td
+tc as (select date_trunc('{sub}', ts) as cell, {S.xsum('value')} as v from td
        where not isnan(value) group by 1),
-st as (select count(*) as c, sum(v) as s, sum(v * v) as ss, min(v) as mn, max(v) as mx from tc),
+st as (select count(*) as c, {S.xsum('v')} as s, {S.xsum('v * v', 8)} as ss, min(v) as mn,
+              max(v) as mx from tc),
 lh as (select greatest(mn, s / c - sqrt((ss - (s / c) * (s / c)) / c) * 1.5) as lo,
               least(mx, s / c + sqrt((ss - (s / c) * (s / c)) / c) * 1.5) as hi from st),
 cuts as (select cast(i as integer) as i, lo + (hi - lo) / 8 * i as threshold
@@ -253,7 +254,7 @@ def _store(spark, sf, filters=None, metric=None):
 
 @register("tsquery_downsample", f"""{S.R}, st as ({_RAW_SQL}),
 ps as (select timestamp - timestamp % 60 as b, city, municipality, space, aggregate,
-              avg(value) as v from st where metric = 'temperature' and aggregate = 'RAW'
+              {S.xavg('value')} as v from st where metric = 'temperature' and aggregate = 'RAW'
        group by all)
 select 'temperature' as metric, make_timestamp(b * 1000000) as bucket, city,
        cast(max(v) as double) as value from ps group by b, city""")
@@ -268,7 +269,7 @@ def q_tsquery_downsample(spark, sf):
 @register("tsquery_filter", f"""
 with rp as ({S.rollup("date_trunc('minute', time)", ["MAX"])}),
 ps as (select timestamp - timestamp % 60 as b, city, municipality, space, aggregate,
-              avg(value) as v from rp
+              {S.xavg('value')} as v from rp
        where metric = 'temperature' and lower(aggregate) in ('max') and lower(city) in ('brussels')
        group by all)
 select 'temperature' as metric, make_timestamp(b * 1000000) as bucket, city,
@@ -284,12 +285,12 @@ def q_tsquery_filter(spark, sf):
 
 @register("tsquery_group", f"""{S.R}, st as ({_RAW_SQL}),
 ps as (select timestamp - timestamp % 600 as b, city, municipality, space, aggregate,
-              sum(value) as v from st
+              {S.xsum('value')} as v from st
        where metric = 'humidity' and aggregate = 'RAW'
              and lower(city) in ('brussels', 'bruxelles')
        group by all)
 select 'humidity' as metric, make_timestamp(b * 1000000) as bucket, municipality,
-       cast(sum(v) as double) as value from ps group by b, municipality""")
+       {S.xsum('v')} as value from ps group by b, municipality""")
 def q_tsquery_group(spark, sf):
     """humidity grouped by municipality (groupBy tag), city = iliteral_or(Brussels|Bruxelles),
     10-minute sums per series, summed across the spaces of each municipality."""

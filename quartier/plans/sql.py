@@ -34,7 +34,7 @@ rk as (select *,
         row_number() over (partition by level, bucket, data_id, gk
                            order by time, room_id) as rfirst
        from lv),
-tot as (select level, bucket, data_id, gk, sum(data) as s, count(*) as c
+tot as (select level, bucket, data_id, gk, {xsum('data')} as s, count(*) as c
         from lv group by level, bucket, data_id, gk),
 pts as (select level, bucket, data_id, 'MAX' as aggregate, time, data as value, mun, room_id
         from rk where rmax = 1
@@ -55,7 +55,7 @@ from pts where aggregate in ({op_list})"""
 
 def space_stats(src: str) -> str:
     """MAX / MIN / AVG / COUNT per measure and level over CTE ``src``."""
-    cols = ("max(data) as max_value, min(data) as min_value, avg(data) as avg_value, "
+    cols = (f"max(data) as max_value, min(data) as min_value, {xavg('data')} as avg_value, "
             "count(*) as n")
     return f"""
 select {METRIC_CASE} as metric, 'city' as level, null::integer as municipality,
@@ -75,8 +75,23 @@ lv as (select 'city' as level, null::integer as municipality, null::integer as s
               slot_start, data from t
        union all select 'municipality', mun, null::integer, slot_start, data from t
        union all select 'space', null::integer, room_id, slot_start, data from t),
-s as (select level, municipality, space, slot_start, sum(data) as sum_temp, count(*) as n
+s as (select level, municipality, space, slot_start, {xsum('data')} as sum_temp, count(*) as n
       from lv group by level, municipality, space, slot_start)"""
 
 
 DAY_NIGHT = "case when {a} >= 19 then 'daytime' when {a} < 19 then 'nighttime' end"
+
+
+def xsum(x: str, decimals: int = 4) -> str:
+    """DuckDB mirror of ``numeric.exact_sum``: integer units of 10^-d summed
+    exactly, NaN / inf / huge values summed as doubles."""
+    scale = f"{10 ** decimals}e0"
+    u = f"(({x}) * {scale})"
+    ok = f"(not isnan({x}) and abs({u}) < 9007199254740992e0)"
+    units = f"sum(case when {ok} then cast(floor({u} + 0.5e0) as bigint) end)"
+    rest = f"sum(case when not {ok} then ({x}) end)"
+    return f"(cast(coalesce({units}, 0) as double) / {scale} + coalesce({rest}, 0e0))"
+
+
+def xavg(x: str) -> str:
+    return f"({xsum(x)} / count({x}))"
