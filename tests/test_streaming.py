@@ -123,3 +123,23 @@ def test_kafka_shaped_records_through_the_pipeline(spark):
     want = rollup.rollup(fixtures.readings(spark, SF))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_runner_on_landing_files(spark):
+    """--source files: the batch and speed layers over wire lines landed as text."""
+    from quartier.streaming import run
+    base = scratch_path(spark, "runner-files")
+    lines = fixtures.lines_from_events(fixtures.events(spark, SF)).select("value")
+    lines.write.text(base + "/landing")
+    a = run.parser().parse_args(["--source", "files", "--path", base + "/landing",
+                                 "--out", base + "/out", "--available-now"])
+    qs = run.start_all(spark, a)
+    for q in qs:
+        q.awaitTermination()
+    assert len(qs) == 3                       # no landing job for a file source
+    raw = spark.read.parquet(base + "/out/points/raw")
+    assert raw.count() == fixtures.readings(spark, SF).count()
+    top = jobs.read_frequent(spark, base + "/out/speed/panes")
+    from quartier.operators import frequent as fq
+    want = fq.frequent_top(fixtures.readings(spark, SF), 1)
+    assert top.exceptAll(want).count() == 0 and want.exceptAll(top).count() == 0
