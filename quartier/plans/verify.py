@@ -67,14 +67,28 @@ def _rows(records, cols):
                                        else round(x[1], 6) if len(x) > 1 else 0) for x in t))
 
 
+EXACT = False   # --exact: doubles must be bit-identical
+
+
 def _close(a, b) -> bool:
     if a[0] != b[0]:
         return False
-    if a[0] == "f":
+    if a[0] == "f" and not EXACT:
         return math.isclose(a[1], b[1], rel_tol=1e-9, abs_tol=1e-9)
     return a == b
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                  "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT"}
+
+
+def _type_diff(sdf, rel) -> dict:
+    duck = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (t, duck.get(c)) for c, t in sdf.dtypes
+            if _SPARK_TO_DUCK.get(t, t) != duck.get(c)}
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     from .catalog import ORACLE, QUERIES
     t0 = time.time()
@@ -94,6 +108,10 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if scols != dcols:
         res["status"] = f"columns differ: spark={scols} duck={dcols}"
         return res
+    tdiff = _type_diff(sdf, rel)
+    if tdiff:
+        res["status"] = f"types differ: {tdiff}"
+        return res
     if len(srows) != len(drows):
         res["status"] = "row count differs"
         return res
@@ -146,8 +164,12 @@ def main(argv=None) -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--parquet", action="store_true",
                     help="diff through written parquet (for large scale factors)")
+    ap.add_argument("--exact", action="store_true",
+                    help="doubles must match bit for bit (no tolerance)")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
+    global EXACT
+    EXACT = a.exact
     from ..session import get_session
     from .catalog import QUERIES, load_all
     load_all()
