@@ -14,6 +14,15 @@ def con():
     return verify.duck(SF)
 
 
+@pytest.fixture(autouse=True)
+def exact():
+    # sums are exact (integer units), so results must be bit-identical to the
+    # oracle, not merely close
+    verify.EXACT = True
+    yield
+    verify.EXACT = False
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     res = verify.compare(spark, name, SF, con)
