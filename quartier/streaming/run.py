@@ -74,9 +74,24 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def configure_state_store(spark: SparkSession) -> None:
+    """Long-running streams keep state in RocksDB (off-heap, spills to local
+    disk, checkpointed incrementally) unless the deployment chose a provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, STATE_STORE)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                       "true")
+
+
 def main(argv=None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("quartier-streams").getOrCreate()
+    configure_state_store(spark)
     qs = start_all(spark, a)
     for q in qs:
         q.awaitTermination()

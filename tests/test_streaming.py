@@ -146,3 +146,21 @@ def test_runner_on_landing_files(spark):
     from quartier.operators import frequent as fq
     want = fq.frequent_top(fixtures.readings(spark, SF), 1)
     assert top.exceptAll(want).count() == 0 and want.exceptAll(top).count() == 0
+
+
+def test_runner_main_with_rocksdb_state(spark):
+    from quartier.streaming import run
+    base = scratch_path(spark, "runner-main")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    try:
+        assert run.main(["--source", "events", "--path", SF, "--out", base,
+                         "--available-now"]) == 0
+        assert spark.conf.get(key) == run.STATE_STORE
+        snap = jobs.read_rollup(spark, base + "/points/rollup_batches")
+        assert snap.count() == rollup.rollup(fixtures.readings(spark, SF)).count()
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
