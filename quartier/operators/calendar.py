@@ -83,7 +83,7 @@ def dedupe(series: DataFrame) -> DataFrame:
 
 def calendar_cells(series: DataFrame, domain: str, sub_domain: str, start=None, end=None,
                    range_n: int | None = None, week_start_monday: bool = True,
-                   missing_as_zero: bool = False) -> DataFrame:
+                   missing_as_zero: bool = False, ordered: bool = False) -> DataFrame:
     """series(ts, value, seq) -> (domain_start, cell_start, value)."""
     if sub_domain not in SUB_DOMAINS[domain]:
         raise ValueError(f"sub-domain {sub_domain} not allowed in domain {domain}")
@@ -110,8 +110,10 @@ def calendar_cells(series: DataFrame, domain: str, sub_domain: str, start=None,
         _step(sub_domain))).alias("cell_start"))
     out = grid.join(vals, ["domain_start", "cell_start"], "left")
     value = F.coalesce(F.col("value"), F.lit(0.0)) if missing_as_zero else F.col("value")
-    return out.select(to_ntz("domain_start").alias("domain_start"),
-                      to_ntz("cell_start").alias("cell_start"), value.alias("value"))
+    out = out.select(to_ntz("domain_start").alias("domain_start"),
+                     to_ntz("cell_start").alias("cell_start"), value.alias("value"))
+    # time-ordered output for display (a range sort of the bounded grid)
+    return out.orderBy("domain_start", "cell_start") if ordered else out
 
 
 def _threshold_cell(ts: Column, sub_domain: str) -> Column:

@@ -146,3 +146,10 @@ def test_negative_value_with_positive_cuts_is_class_one_overflow(spark):
     assert got[1] == (1, False, True, 0)
     assert got[2] == (5, False, False, 5)      # 50 <= cut[4] = 50
     assert got[3] == (None, None, None, None)
+
+
+def test_calendar_ordered_output(spark):
+    s = series(spark, [("2024-01-03 10:00:00", 1.0), ("2024-01-01 05:00:00", 2.0)])
+    got = [(r["domain_start"], r["cell_start"]) for r in
+           cal.calendar_cells(s, "day", "hour", ordered=True).collect()]
+    assert got == sorted(got) and len(got) == 3 * 24
