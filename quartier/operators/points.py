@@ -72,10 +72,17 @@ def last_write_wins(points: DataFrame, keys: Sequence[str] = ("metric", *TAG_COL
 
 
 def retain(df: DataFrame, years: int = 10, time_col: str = "time", as_of=None) -> DataFrame:
-    """Drop readings older than ``years`` before the as-of time."""
+    """Drop readings older than ``years`` before the as-of time.
+
+    On a table partitioned by ``day`` the cut-off also bounds the partition
+    column, so expired partitions are pruned rather than scanned."""
     from .stats import as_of_time
     now = as_of_time(df.withColumnRenamed(time_col, "time") if time_col != "time" else df, as_of)
-    return df.filter(F.col(time_col) >= now - interval(years, "years"))
+    cut = now - interval(years, "years")
+    out = df.filter(F.col(time_col) >= cut)
+    if "day" in df.columns:
+        out = out.filter(F.col("day") >= F.to_date(cut))
+    return out
 
 
 def serving_union(*frames: DataFrame) -> DataFrame:
