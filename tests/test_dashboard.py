@@ -153,3 +153,17 @@ def test_calendar_ordered_output(spark):
     got = [(r["domain_start"], r["cell_start"]) for r in
            cal.calendar_cells(s, "day", "hour", ordered=True).collect()]
     assert got == sorted(got) and len(got) == 3 * 24
+
+
+def test_tag_filter_syntax_and_table_selection(spark):
+    df = spark.createDataFrame([("Brussels", 1), ("Bruges", 2), ("Gent", 3)], "city string, municipality int")
+    pick = lambda spec: sorted(r["city"] for r in df.filter(tq.tag_predicate("city", spec)).collect())
+    assert pick("wildcard(Bru*)") == ["Bruges", "Brussels"]
+    assert pick("iwildcard(bru*)") == ["Bruges", "Brussels"]
+    assert pick("*") == ["Bruges", "Brussels", "Gent"]
+    assert pick("literal_or(Gent|Bruges)") == ["Bruges", "Gent"]
+    assert pick("Gent") == ["Gent"]
+    assert tq.aggregate_values(None) is None
+    assert tq.aggregate_values({"_aggregate": "iliteral_or(max|raw)"}) == {"MAX", "RAW"}
+    assert tq.aggregate_values({"_aggregate": "SUM"}) == {"SUM"}
+    assert tq.aggregate_values({"_aggregate": "*"}) is None
