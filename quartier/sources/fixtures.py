@@ -35,7 +35,7 @@ where event_type <> 'error'
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with its known schema: no footer sampling for schema
     inference on the driver, however many files the table has."""
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{str(sf_dir).rstrip('/')}/events.parquet")
 
 
 def readings_from_events(ev: DataFrame) -> DataFrame:

@@ -43,6 +43,7 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     The table is either one file next to the other tables or a directory of
     part files (the usual layout at scale); both are streamed."""
     ensure_utc(spark)
+    sf_dir = str(sf_dir)
     table = f"{sf_dir.rstrip('/')}/events.parquet"
     rs = spark.readStream.schema(EVENTS)
     if max_files:
