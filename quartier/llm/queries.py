@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, rules, tokencount, urlfilter, warc
+from . import decontaminate, packing, rules, tokencount, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,9 @@ FROM e"""
 @_query("op8_warc_derivatives", _warc_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+@_query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
