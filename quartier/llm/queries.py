@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, packing, quality, rules, tokencount, urlfilter, warc
-from .common import table
+from . import decontaminate, maxent, packing, quality, rules, tokencount, urlfilter, warc
+from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -197,3 +197,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_quality_classifier")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op1_lm_scoring")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"), fold(7) != 2)
