@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, maxent, packing, quality, rules, tokencount, urlfilter, warc
+from . import decontaminate, jaccard, maxent, packing, quality, rules, tokencount, urlfilter, warc
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_lm_scoring")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"), fold(7) != 2)
+
+
+@_query("op5_ngram_jaccard", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i
+    FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (
+  SELECT doc_id AS x, doc_id AS y FROM w
+  UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.y) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN r ON r.x = w.doc_id GROUP BY ALL""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
