@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, jaccard, maxent, packing, quality, rules, tokencount, urlfilter, warc
+from . import decontaminate, jaccard, maxent, packing, quality, rules, substrings, tokencount, urlfilter, warc
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,9 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.y) AS component_id
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN r ON r.x = w.doc_id GROUP BY ALL""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
