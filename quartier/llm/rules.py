@@ -98,9 +98,12 @@ def measure(docs: DataFrame) -> DataFrame:
         lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n"),
                                 p.alias("last")),
         lambda acc: acc["n"])
-    return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                    F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-                    "n_lines", "n_capital_words")
+    # The generator keeps a later filter on a measurement from being inlined
+    # through the steps above, which would repeat them without end.
+    return d.select(F.inline(F.array(F.struct(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        "n_lines", "n_capital_words"))))
 
 
 def _twin(arr: Column, e: Column, i: Column, fields: tuple[str, ...]) -> Column:
