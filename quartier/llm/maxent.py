@@ -5,7 +5,7 @@ p(token | history) = p(class | history) * p(token | class, history). The
 more class stands for all other tokens, whose share inside it is their add-one
 unigram estimate (with one unseen type), so the model sums to one over every
 known token and an unknown one. The scores of both layers are sums of hashed
-feature rows: bigram and trigram histories and two skip features.
+feature rows: bigram and trigram histories and a skip feature.
 
 Counts cover all training rows. The weights are trained by distributed gradient
 updates: in each round every task runs minibatches over its part of the round's
@@ -38,7 +38,6 @@ HEAD = CLASSES * WIDTH
 DICTIONARY = 300_000
 #: History keys of tokens outside the head, by their ending.
 ENDINGS = 4096
-FEATURES = 4
 CLASS_ROWS = 1 << 13
 WORD_ROWS = 1 << 15
 ROUNDS = 3
@@ -98,7 +97,17 @@ def _ending(token: bytes) -> int:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """Classes, history keys and first scores from the training counts."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    rows = (counts.orderBy(F.desc("c"), "token").limit(DICTIONARY).collect())
+    # The least count in the dictionary, to an eighth of a power of two: so few
+    # levels reach the driver, and no task sorts the vocabulary.
+    level = F.floor(8 * F.log2("c"))
+    least, held = None, 0
+    for r in sorted(counts.groupBy(level.alias("l")).count().collect(), reverse=True):
+        held += r["count"]
+        if held > DICTIONARY:
+            break
+        least = r["l"]
+    rows = (counts.filter(F.lit(False) if least is None else level >= least).collect())
+    rows.sort(key=lambda r: (-r["c"], bytes(r["token"])))
     tok = [bytes(r["token"]) for r in rows]
     c = np.array([r["c"] for r in rows], np.int64)
     head = min(HEAD, len(tok))
@@ -135,7 +144,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Batch:
-    """Tokens of some texts, flat; three starts precede each text."""
+    """Tokens of some texts, flat."""
 
     def __init__(self, vocab: Vocabulary, batch: list[str]):
         get = vocab.index.get
@@ -145,30 +154,30 @@ class Batch:
                               for f in found])
         self.ids = ids
         unknown = np.flatnonzero(ids < 0)
-        flat = None
         key = vocab.key[ids] if len(vocab.key) else np.zeros(len(ids), np.int64)
         ends = np.cumsum(self.sizes)
         self.doc = np.repeat(np.arange(len(found)), self.sizes)
-        #: tokens outside the dictionary: (text, token)
-        self.missing: list[tuple[int, bytes]] = []
+        #: tokens outside the dictionary, and how many each text has
+        self.missing: list[bytes] = []
         if len(unknown):
             begin = (ends - self.sizes)[self.doc[unknown]]
             flat = [found[d][i] for d, i in zip(self.doc[unknown].tolist(),
                                                 (unknown - begin).tolist())]
-            key[unknown] = [_ending(t) for t in flat]
-            self.missing = list(zip(self.doc[unknown].tolist(), flat))
+            tail = np.fromiter((crc32(t[-3:]) for t in flat), np.int64, len(flat))
+            key[unknown] = HEAD + tail % ENDINGS
+            self.missing = flat
+        self.missed = np.bincount(self.doc[unknown], minlength=len(found))
         known = ids >= 0
         self.cls = np.where(known, vocab.cls[ids] if len(vocab.cls) else CLASSES, CLASSES)
         self.slot = np.where(self.cls < CLASSES, vocab.slot[ids] if len(vocab.slot) else 0, 0)
         # history keys: 1 + key, 0 before the text
         place = np.arange(len(ids)) - np.repeat(ends - self.sizes, self.sizes)
-        past = [np.where(place >= g, np.roll(key, g) + 1, 0) for g in (1, 2, 3)]
-        a, b, c = (p.astype(np.uint32) for p in past)
+        past = [np.where(place >= g, np.roll(key, g) + 1, 0) for g in (1, 2)]
+        a, b = (p.astype(np.uint32) for p in past)
         self.features = [
             _mix(a * np.uint32(4) + np.uint32(1)),                    # last token
             _mix(a * np.uint32(0x9E3779B1) + b * np.uint32(8) + np.uint32(2)),  # last two
             _mix(b * np.uint32(4) + np.uint32(3)),                    # skip one
-            _mix(c * np.uint32(4) + np.uint32(0)),                    # skip two
         ]
 
     def class_rows(self, part: slice) -> list[np.ndarray]:
@@ -187,6 +196,14 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return scores
 
 
+def _log_chosen(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """log10 of the softmax at one column per row."""
+    scores -= scores.max(axis=1, keepdims=True)
+    own = scores[np.arange(len(chosen)), chosen]
+    total = np.exp(scores, out=scores).sum(axis=1)
+    return (own.astype(np.float64) - np.log(total)) / np.log(10)
+
+
 def _gather(first: np.ndarray, w: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     s = w[rows[0]]
     for r in rows[1:]:
@@ -204,13 +221,12 @@ def log_probability(vocab: Vocabulary, weights: Weights, batch: Batch) -> np.nda
     for lo in range(0, n, _CHUNK):
         part = slice(lo, min(lo + _CHUNK, n))
         cls = batch.cls[part]
-        p = _softmax(_gather(first, weights.w1, batch.class_rows(part)))
-        q = np.log10(np.maximum(p[np.arange(len(cls)), cls], 1e-30)).astype(np.float64)
+        q = _log_chosen(_gather(first, weights.w1, batch.class_rows(part)), cls)
         at = np.flatnonzero(cls < CLASSES)
         if len(at):
             g = at + lo
-            p = _softmax(_gather(inner[cls[at]], weights.w2, batch.word_rows(g)))
-            q[at] += np.log10(np.maximum(p[np.arange(len(at)), batch.slot[g]], 1e-30))
+            q[at] += _log_chosen(_gather(inner[cls[at]], weights.w2, batch.word_rows(g)),
+                                 batch.slot[g])
         q[cls == CLASSES] -= np.log10(vocab.rest)
         out[part] = q
     return out
@@ -227,13 +243,18 @@ class Learner:
 
     def _update(self, layer: int, rows: list[np.ndarray], grad: np.ndarray) -> None:
         w = self.layers[layer]
+        width = grad.shape[1]
+        flat = grad.astype(np.float64).ravel()
         for r in rows:
-            order = np.argsort(r, kind="stable")
+            order = np.argsort(r.astype(np.uint16), kind="stable")  # a radix sort
             sorted_rows = r[order]
-            first = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
-            row = sorted_rows[first]
-            g = np.add.reduceat(grad[order], first, axis=0)
-            self.met[layer][row] += np.diff(np.append(first, len(r)))
+            new = np.append(True, sorted_rows[1:] != sorted_rows[:-1])
+            number = np.empty(len(r), np.int64)
+            number[order] = np.cumsum(new) - 1
+            row = sorted_rows[new]
+            g = np.bincount((number[:, None] * width + np.arange(width)).ravel(), flat,
+                            len(row) * width).reshape(-1, width).astype(np.float32)
+            self.met[layer][row] += np.bincount(number, minlength=len(row))
             self.power[layer][row] += (g * g).sum(axis=1)
             w[row] -= RATE * g / np.sqrt(self.power[layer][row] + 1.0)[:, None]
 
@@ -346,31 +367,28 @@ def score(docs: DataFrame, is_train: Column) -> DataFrame:
                 lp = log_probability(vocab, w, batch)
                 lc = logc[batch.ids]
                 lp[batch.cls == CLASSES] += lc[batch.cls == CLASSES]
-                missing: list[dict[bytes, int]] = [{} for _ in range(k)]
-                for doc, t in batch.missing:
-                    missing[doc][t] = missing[doc].get(t, 0) + 1
+                ends = np.cumsum(batch.missed).tolist()
+                missing = [batch.missing[i:j] for i, j in zip([0, *ends], ends)]
                 yield pd.DataFrame({
                     "row": part["row"].to_numpy(), "doc_id": part["doc_id"].to_numpy(),
                     "is_train": part["is_train"].to_numpy(), "n_tokens": batch.sizes,
                     "n_known": np.bincount(batch.doc, batch.ids >= 0, k).astype(np.int64),
                     "base": np.bincount(batch.doc, lc, k),
                     "lp": np.bincount(batch.doc, lp, k),
-                    "words": [list(m) for m in missing],
-                    "times": [list(m.values()) for m in missing]}).astype({"doc_id": "Int64"})
+                    "words": missing}).astype({"doc_id": "Int64"})
 
     schema = ("row long, doc_id long, is_train boolean, n_tokens long, n_known long, "
-              "base double, lp double, words array<binary>, times array<long>")
+              "base double, lp double, words array<binary>")
     rows = written(d.withColumn("row", F.monotonically_increasing_id())
                    .select("row", "doc_id", "is_train", "text").mapInPandas(run, schema),
                    scratch_path(spark, "lm-rows"))
     # Tokens outside the dictionary are rare ones: no hot key in this join.
-    rare = rows.select("row", F.inline(F.arrays_zip("words", "times"))).join(
-        counts.withColumnRenamed("token", "words"), "words").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"),
-        F.sum("times").alias("known"))
+    rare = rows.select("row", F.explode("words").alias("token")).join(
+        counts, "token").groupBy("row").agg(
+        F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("known"))
     norm = float(np.log10(vocab.n + vocab.v + 1))
     more = F.coalesce("more", F.lit(0.0))
-    return (rows.drop("words", "times").join(rare, "row", "left").select(
+    return (rows.drop("words").join(rare, "row", "left").select(
         "doc_id", (~F.col("is_train")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(vocab.n).cast("long").alias("train_tokens"),
