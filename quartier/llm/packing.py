@@ -26,27 +26,76 @@ WINDOW = 2048
 #: Documents per shard, about.
 SHARD_DOCS = 1000
 #: Terms of a seed that are asked for: those of the largest BM25 weight.
-QUERY_TERMS = 48
+QUERY_TERMS = 32
+#: Documents encoded at once; the more, the fewer times a word is looked up.
+BATCH = 2000
 #: Neighbours looked at for one that fits before one is cut.
 LOOK = 16
 K1, B = 1.2, 0.75
-#: Remembered words per worker; beyond it the memory starts afresh.
-MEMORY = 400_000
+#: Remembered pieces per worker; beyond it the memory starts afresh.
+MEMORY = 200_000
 
 # White space as the tokenizer's pattern sees it.
 _SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _WORD = re.compile(f"[^{_SPACE}]+")
 #: Characters that str.split() takes for white space and the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
-_PLAIN = re.compile(r"([A-Za-z]+)([.,:;!?]*)")
+#: Plain words: Latin letters that need no normalising beyond lower case, then
+#: ASCII punctuation. The pre-tokenizer cuts them in two just there.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\\[-`{-~]*)")
+#: Stands for the end of a word in merges; plain words do not hold it.
+_STOP = "\x00"
 
 _DOC = ("doc_id long, doc_tokens long, full binary, tail binary, terms binary, tf binary")
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
          "sequence_id long, `offset` long")
 
 
+def _byte_of_char() -> dict[str, int]:
+    """Byte-level tokenizers write bytes as printable characters: those that are
+    printable in Latin-1 as themselves, the others from U+0100 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class Merges:
+    """Ids of many plain words at once, by the vocabulary's own merges.
+
+    Each word is written with a stop byte for the end-of-word mark. The marked
+    single bytes come before all merges in the vocabulary, so the stop joins the
+    last byte first, as the mark requires; a token that holds it ends a word.
+    """
+
+    def __init__(self, tok, dtype: np.dtype):
+        import tiktoken
+        byte, added = _byte_of_char(), set(tok.get_added_tokens_decoder())
+        ranks = {}
+        for token, i in tok.get_vocab(with_added_tokens=False).items():
+            if i not in added:
+                body = token.removesuffix("</w>")
+                ranks[bytes(byte[c] for c in body) + _STOP.encode() * (body != token)] = i
+        self.dtype = dtype
+        self.ends = np.zeros(max(ranks.values()) + 1, bool)
+        self.ends[[i for t, i in ranks.items() if t.endswith(b"\0") and len(t) > 1]] = True
+        self.bpe = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks,
+                                     special_tokens={})
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        ids = self.bpe.encode_to_numpy(_STOP.join(words) + _STOP)
+        cut = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+        raw = ids.astype(self.dtype).tobytes()
+        cut = cut.tolist()
+        if len(cut) != len(words):
+            raise ValueError("a word does not end where its tokens do")
+        return [raw[a:b] for a, b in zip([0, *cut], cut)]
+
+
 class Encoder:
-    """Token ids of texts, remembering the ids of their words.
+    """Token ids of texts by way of their distinct words: plain words are merged
+    in bulk, the ids of other pieces come from the library and are remembered.
 
     Used for tokenizers that drop white space and treat words one by one; a
     text holding the string of an added token goes to the library whole.
@@ -61,7 +110,11 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        marked = all(c + "</w>" in vocab and vocab[c + "</w>"] < 512 and vocab[c] < 512
+                     for c in _byte_of_char())
+        self.merges = Merges(self.tok, self.dtype) if marked else None
         self.end = np.array([end], self.dtype).tobytes()
 
     def _ids(self, items: list[str]) -> list[bytes]:
@@ -72,20 +125,33 @@ class Encoder:
         whole = {i for i, t in enumerate(batch) if self.added and self.added.search(t)}
         found = [[] if i in whole else _WORD.findall(t) if _ODD.search(t) else t.split()
                  for i, t in enumerate(batch)]
+        words = set().union(*found)
+        letters = [w for w in words if w.isascii() and w.isalpha()] if self.merges else []
+        lower = [w.lower() for w in letters]
+        # words of letters and a tail of punctuation, in three parallel lists
+        tailed: list[str] = []
+        body: list[str] = []
+        tail: list[str] = []
+        odd: list[str] = []
+        for w in words.difference(letters):
+            m = _PLAIN.fullmatch(w) if self.merges else None
+            if m:
+                tailed.append(w)
+                body.append(m[1].lower())
+                tail.append(m[2])
+            else:
+                odd.append(w)
+        cores = list(set(lower).union(body))
+        code = dict(zip(cores, self.merges.ids(cores))) if cores else {}
         if len(self.known) > MEMORY:
-            self.known.clear()
+            self.known = {"": b""}
         known = self.known
-        new = set().union(*found) - known.keys()
-        split = {w: (m[1].lower(), m[2]) for w in new if (m := _PLAIN.fullmatch(w))}
-        ask = new - split.keys()
-        for pair in split.values():
-            ask.update(p for p in pair if p and p not in known)
-        ask = list(ask)
+        ask = list(set(tail).union(odd).difference(known))
         known.update(zip(ask, self._ids(ask)))
-        known[""] = b""
-        for w, (a, b) in split.items():
-            known[w] = known[a] + known[b]
-        out = [b"".join(map(known.__getitem__, ws)) for ws in found]
+        local = dict(zip(letters, map(code.__getitem__, lower)))
+        local.update(zip(tailed, (code[a] + known[b] for a, b in zip(body, tail))))
+        local.update((w, known[w]) for w in odd)
+        out = [b"".join(map(local.__getitem__, ws)) for ws in found]
         for i, ids in zip(sorted(whole), self._ids([batch[i] for i in sorted(whole)])):
             out[i] = ids
         return [np.frombuffer(x + self.end, self.dtype) for x in out]
@@ -101,8 +167,8 @@ def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFr
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = Encoder(path, end)
         for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.iloc[at:at + 500]
+            for at in range(0, len(b), BATCH):
+                part = b.iloc[at:at + BATCH]
                 rows = []
                 for doc, ids in zip(part["doc_id"], enc.encode(part["text"].tolist())):
                     n = len(ids)

@@ -58,3 +58,16 @@ def test_neighbours_share_words(spark):
 
 def test_empty(no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_bulk_merges_are_the_library_s():
+    """Plain words merged in bulk get the library's ids: the vocabulary's own
+    words, pairs of them, and random strings."""
+    rng = np.random.default_rng(4)
+    enc = packing.Encoder(PATH, 1)
+    own = [w.removesuffix("</w>") for w in enc.tok.get_vocab() if w.removesuffix("</w>").isalpha()]
+    own = [w for w in own if w.isascii()]
+    pairs = ["".join(rng.choice(own, 2)) for _ in range(20000)]
+    noise = ["".join(rng.choice(list("aeioustnrlhéüß"), rng.integers(1, 12))) for _ in range(20000)]
+    words = list(dict.fromkeys(own + pairs + noise))
+    assert enc.merges.ids(words) == enc._ids(words)
