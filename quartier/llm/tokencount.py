@@ -81,7 +81,7 @@ class Counter:
         if len(self.known) > MEMORY:
             self.known.clear()
         known = self.known
-        new = set().union(*found) - known.keys()
+        new = set().union(*found).difference(known)
         split = {u: m.groups() for u in new if (m := _PLAIN.fullmatch(u))}
         ask = {u for u in new if u not in split}
         for pair in split.values():
