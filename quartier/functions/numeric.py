@@ -1,76 +1,60 @@
-"""Numeric helpers with the reference's rounding rules."""
+"""Sums that do not depend on order, and NaN-skipping extremes."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .timefns import js_round  # noqa: F401  (G23, display rounding)
 
 
-def half_even(col: Column | str, digits: int = 0) -> Column:
-    """Round half to even (Spark ``round`` rounds half up)."""
-    return F.bround(col, digits)
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def round4(col: Column | str) -> Column:
-    """Readings carry four decimals on the wire."""
-    return F.bround(col, 4)
+# A value is cut into a multiple of 2^-6, a multiple of 2^-28 and the rest.  Sums
+# of the first two are exact in a double (up to 2^53 steps), and the rest is so
+# small that the order of its additions does not reach the result's last bit.
+_COARSE, _FINE = 2.0 ** 6, 2.0 ** 28
+_LARGE = 2.0 ** 46
 
 
-def modulo(col: Column | str, n: int) -> Column:
-    """Non-negative modulo, e.g. municipality = room % 19."""
-    return F.pmod(col, F.lit(n))
+def sum_parts(col: Column | str) -> list[Column]:
+    """The three addends of a value; NaN, inf and huge values are whole in the first."""
+    x = _col(col)
+    cut = F.abs(x) < _LARGE      # false for NaN and inf
+    coarse = F.rint(x * _COARSE) / _COARSE
+    fine = F.rint((x - coarse) * _FINE) / _FINE
+    zero = F.when(x.isNotNull(), F.lit(0.0))
+    return [F.when(cut, coarse).otherwise(x), F.when(cut, fine).otherwise(zero),
+            F.when(cut, x - coarse - fine).otherwise(zero)]
 
 
-# Fixed value: readings carry four decimals on the wire, so sums are taken in
-# exact integer units of 10^-4.
-FIXED_DECIMALS = 4
-_UNIT_LIMIT = 2.0 ** 53
+def combine_sums(totals: Sequence[Column]) -> Column:
+    """The sum from the totals of the three parts (0.0 over no values)."""
+    a, b, c = (F.coalesce(t, F.lit(0.0)) for t in totals)
+    return a + (b + c)
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def exact_sum(col: Column | str) -> Column:
+    """SUM of doubles that does not depend on the order of addition, so equal
+    data give equal results under any partitioning.  Values keep their full
+    precision; NaN and inf propagate; primitive buffers, so it hash-aggregates."""
+    return combine_sums([F.sum(p) for p in sum_parts(col)])
 
 
-def fixed_units(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
-    """Value in integer units of 10^-decimals (floor(x*10^d + 0.5)); NULL for
-    NaN, +-inf and magnitudes beyond 2^53 units, which ``spill`` keeps."""
-    c = _col(col)
-    x = c * float(10 ** decimals)
-    ok = c.isNotNull() & ~F.isnan(c) & (F.abs(x) < F.lit(_UNIT_LIMIT))
-    return F.when(ok, F.floor(x + 0.5).cast("long"))
+def exact_avg(col: Column | str) -> Column:
+    return exact_sum(col) / F.count(_col(col))
 
 
-def spill(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
-    """The values ``fixed_units`` cannot hold, as plain doubles."""
+def max_number(col: Column | str) -> Column:
+    """MAX that skips NaN unless every value is NaN."""
     c = _col(col)
-    x = c * float(10 ** decimals)
-    ok = ~F.isnan(c) & (F.abs(x) < F.lit(_UNIT_LIMIT))
-    return F.when(c.isNotNull() & ~ok, c)
-
-
-def combine_sums(units_total: Column, spill_total: Column,
-                 decimals: int = FIXED_DECIMALS) -> Column:
-    """units / 10^d + spilled doubles (NaN / inf propagate as in a double sum)."""
-    return (F.coalesce(units_total, F.lit(0)).cast("double") / float(10 ** decimals)
-            + F.coalesce(spill_total, F.lit(0.0)))
-
-
-def exact_sum(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
-    """SUM aggregate that is exact for values with at most ``decimals``
-    decimals: integer units added in a long, so the result does not depend on
-    summation order (partitioning, engine).  Hash-aggregatable (primitive
-    buffers).  Sums of such sums can be summed again exactly."""
-    return combine_sums(F.sum(fixed_units(col, decimals)), F.sum(spill(col, decimals)), decimals)
-
-
-def exact_avg(col: Column | str, decimals: int = FIXED_DECIMALS) -> Column:
-    return exact_sum(col, decimals) / F.count(_col(col))
+    return F.coalesce(F.max(F.when(~F.isnan(c), c)), F.max(c))
 
 
-def exact_sum_wide(col: Column | str, decimals: int) -> Column:
-    """As ``exact_sum`` with a DECIMAL(38,0) unit total (for squares, whose
-    unit totals can exceed a long)."""
-    units = fixed_units(col, decimals).cast("decimal(38,0)")
-    return combine_sums(F.sum(units), F.sum(spill(col, decimals)), decimals)
+def min_number(col: Column | str) -> Column:
+    """MIN that skips NaN unless every value is NaN."""
+    return F.min(_col(col))      # Spark orders NaN above every number

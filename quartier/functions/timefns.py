@@ -135,7 +135,8 @@ def days_in_year(col: Column | str) -> Column:
 
 
 def js_round(col: Column | str, decimals: int = 0) -> Column:
-    """Display rounding that rounds halves towards +infinity."""
+    """Display rounding that rounds halves towards +infinity; NaN, inf and
+    numbers without a fraction at this size stay as they are."""
     c = F.col(col) if isinstance(col, str) else col
     mul = float(10 ** decimals)
-    return F.floor(c * mul + 0.5) / mul
+    return F.when(F.abs(c * mul) < 2.0 ** 52, F.floor(c * mul + 0.5) / mul).otherwise(c)

@@ -12,14 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, exact_sum_wide
+from ..functions.numeric import exact_sum
 from ..functions.timefns import sunday_week_start, to_ntz
 from .points import last_write_wins
 
-# Allowed sub-domains per domain and the range cap.
+# Allowed sub-domains per domain.
 SUB_DOMAINS = {"hour": ["min"], "day": ["hour"], "week": ["day", "hour"],
                "month": ["day", "week"], "year": ["month", "week", "day"]}
-MAX_RANGE = 100
 THRESHOLD_STEPS = 9
 
 
@@ -53,10 +52,11 @@ def _step(unit: str, n: Column | int = 1) -> Column:
     raise ValueError(unit)
 
 
-def domain_count(start: Column, end: Column, domain: str) -> Column:
+def domain_count(start: Column, end: Column, domain: str,
+                 week_start_monday: bool = True) -> Column:
     """Number of domains from the one containing ``start`` to the one
-    containing ``end`` (inclusive), capped at MAX_RANGE."""
-    s, e = trunc(start, domain), trunc(end, domain)
+    containing ``end`` (inclusive)."""
+    s, e = trunc(start, domain, week_start_monday), trunc(end, domain, week_start_monday)
     u = _unit(domain)
     if u in ("month", "year"):
         months = (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
@@ -64,7 +64,7 @@ def domain_count(start: Column, end: Column, domain: str) -> Column:
     else:
         sec = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800}[u]
         n = F.floor((F.unix_seconds(e) - F.unix_seconds(s)) / sec)
-    return F.least(n.cast("int") + 1, F.lit(MAX_RANGE))
+    return n.cast("int") + 1
 
 
 def auto_domain(start: Column, end: Column) -> tuple[Column, Column]:
@@ -77,14 +77,20 @@ def auto_domain(start: Column, end: Column) -> tuple[Column, Column]:
 
 
 def dedupe(series: DataFrame) -> DataFrame:
-    """One value per timestamp: the one written last (largest seq)."""
-    return last_write_wins(series.select("ts", "value", "seq"), keys=["ts"], order="seq")
+    """One value per timestamp of a series: the one written last (largest seq).
+
+    A ``series`` column, if there is one, names the series of a row."""
+    keys = ["series", "ts"] if "series" in series.columns else ["ts"]
+    return last_write_wins(series.select(*keys, "value", "seq"), keys=keys, order="seq")
 
 
 def calendar_cells(series: DataFrame, domain: str, sub_domain: str, start=None, end=None,
                    range_n: int | None = None, week_start_monday: bool = True,
                    missing_as_zero: bool = False, ordered: bool = False) -> DataFrame:
-    """series(ts, value, seq) -> (domain_start, cell_start, value)."""
+    """series(ts, value, seq[, series]) -> (domain_start, cell_start, value).
+
+    Covers every domain from ``start`` to ``end`` (default: the data's first and
+    last time), or ``range_n`` domains from ``start``."""
     if sub_domain not in SUB_DOMAINS[domain]:
         raise ValueError(f"sub-domain {sub_domain} not allowed in domain {domain}")
     spark = series.sparkSession
@@ -93,7 +99,7 @@ def calendar_cells(series: DataFrame, domain: str, sub_domain: str, start=None,
           else F.lit(start).cast("timestamp"))
     hi = (series.select(F.max(ts)).scalar() if end is None
           else F.lit(end).cast("timestamp"))
-    n = F.lit(min(range_n, MAX_RANGE)) if range_n else domain_count(lo, hi, domain)
+    n = F.lit(range_n) if range_n else domain_count(lo, hi, domain, week_start_monday)
     d0 = trunc(lo, domain, week_start_monday)
     d_end = d0 + _step(domain, n)
 
@@ -104,7 +110,8 @@ def calendar_cells(series: DataFrame, domain: str, sub_domain: str, start=None,
             .agg(exact_sum("value").alias("value")))
     doms = spark.range(1).select(F.explode(
         F.sequence(d0, d0 + _step(domain, n - 1), _step(domain))).alias("domain_start"))
-    grid = doms.select("domain_start", F.explode(F.sequence(
+    # one row per domain, spread before it becomes its cells
+    grid = doms.repartition("domain_start").select("domain_start", F.explode(F.sequence(
         trunc(F.col("domain_start"), sub_domain, week_start_monday),
         F.col("domain_start") + _step(domain) - F.expr("INTERVAL 1 SECOND"),
         _step(sub_domain))).alias("cell_start"))
@@ -139,7 +146,7 @@ def thresholds(series: DataFrame, sub_domain: str) -> DataFrame:
              .agg(exact_sum("value").alias("v")))
     st = cells.groupBy(F.lit(1).alias("_k")).agg(
         F.count(F.lit(1)).alias("c"), exact_sum("v").alias("s"),
-        exact_sum_wide(F.col("v") * F.col("v"), 8).alias("ss"),
+        exact_sum(F.col("v") * F.col("v")).alias("ss"),
         F.min("v").alias("mn"), F.max("v").alias("mx"))
     avg = F.col("s") / F.col("c")
     sd = F.sqrt((F.col("ss") - avg * avg) / F.col("c"))
@@ -174,9 +181,3 @@ def classify(cells: DataFrame, cuts: DataFrame) -> DataFrame:
                          F.when(v.isNotNull(), overflow).alias("overflow"),
                          F.when(v.isNotNull(), v == 0).alias("zero"),
                          F.when(v.isNotNull(), b).cast("int").alias("bin"))
-
-
-def parse_thresholds(spec: str) -> list[float]:
-    """'10, 20,30' -> [10.0, 20.0, 30.0] (a legend typed by the user)."""
-    import re
-    return [float(x) for x in re.split(r"\s*,\s*", spec.strip()) if x != ""]

@@ -5,8 +5,8 @@ municipality), then one ``GROUPING SETS`` aggregate over the partials yields
 every (measure x operator x level) output of the bucket, and an ``explode``
 of four structs unpivots the operators.  Both aggregates combine map-side, so
 the hot city-level group costs one partial row per task, never a whole group
-in one task.  Streaming: a single grouping-sets aggregate on the windowed
-bucket (one stateful operator, state evicted by the watermark).
+in one task.  Streaming: every micro-batch appends its partials and readers
+merge them, so a late reading counts and no state is held.
 
 MAX / MIN keep the arg-row (its own time, municipality and room).  NaN is
 skipped unless every value of the group is NaN; ties go to the earliest time,
@@ -21,10 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import combine_sums, exact_sum, fixed_units, spill
+from ..functions.numeric import combine_sums, exact_sum, sum_parts
 from ..functions.timefns import bucket_start, epoch_seconds, to_ntz
 from ..schema import CITY, LEVELS, MEASURES, OPS
 
+_SUMS = ("s1", "s2", "s3")     # totals of the three parts of a sum
 _LEVEL_KEYS = {"city": [], "municipality": ["mun"], "space": ["room_id"]}
 # grouping_id() bits over (bucket, data_id, mun, room_id): mun=2, room_id=1
 _LEVEL_OF_GID = {3: "city", 1: "municipality", 2: "space"}
@@ -66,8 +67,8 @@ def _row_aggs(ops: Sequence[str]) -> list[Column]:
         aggs.append(arg_max_row().alias("mx"))
     if "MIN" in ops:
         aggs.append(arg_min_row().alias("mn"))
-    if "SUM" in ops:   # exact: integer units + spilled non-finite values
-        aggs += [F.sum(fixed_units("data")).alias("su"), F.sum(spill("data")).alias("sp")]
+    if "SUM" in ops:
+        aggs += [F.sum(p).alias(n) for p, n in zip(sum_parts("data"), _SUMS)]
     if "COUNT" in ops:
         aggs.append(F.count(F.lit(1)).alias("c"))
     return aggs
@@ -87,39 +88,50 @@ def _merge_aggs(ops: Sequence[str]) -> list[Column]:
     if "MIN" in ops:
         aggs.append(F.min_by(F.col("mn"), key("mn", 1)).alias("mn"))
     if "SUM" in ops:
-        aggs += [F.sum("su").alias("su"), F.sum("sp").alias("sp")]
+        aggs += [F.sum(n).alias(n) for n in _SUMS]
     if "COUNT" in ops:
         aggs.append(F.sum("c").alias("c"))
     return aggs
 
 
+_PARTIAL_KEYS = ["bucket", "data_id", "mun", "room_id"]
+
+
+def partials(readings: DataFrame, bucket: str = "1 minute", ops: Sequence[str] = OPS) -> DataFrame:
+    """First stage: one combinable row per (bucket, measure, room, municipality)."""
+    r = (readings.filter(F.col("data_id").between(0, 3))
+                 .select(bucket_start("time", bucket).alias("bucket"), "data_id", "mun", "room_id",
+                         "time", "data"))
+    return r.groupBy(*_PARTIAL_KEYS).agg(*_row_aggs(ops))
+
+
+def merge_partials(part: DataFrame, ops: Sequence[str] = OPS) -> DataFrame:
+    """Partials of several batches as one row per key."""
+    return part.groupBy(*_PARTIAL_KEYS).agg(*_merge_aggs(ops))
+
+
 def rollup(readings: DataFrame, bucket: str = "1 minute",
            ops: Sequence[str] = OPS, levels: Sequence[str] = LEVELS) -> DataFrame:
-    """Long-form roll-up points.
+    """Long-form roll-up points: the three levels from the readings' partials.
+
+    The grouping sets expand the (much fewer) partials instead of every
+    reading; measured 1.3-1.5x faster than expanding raw rows (see PLANS.md).
+    """
+    ops = [o.upper() for o in ops]
+    return rollup_partials(partials(readings, bucket, ops), ops, levels)
+
+
+def rollup_partials(part: DataFrame, ops: Sequence[str] = OPS,
+                    levels: Sequence[str] = LEVELS) -> DataFrame:
+    """Second stage; ``part`` may hold several partials of a key.
 
     Columns: bucket (TIMESTAMP_NTZ), data_id, metric, level, aggregate,
     timestamp (epoch s of the representative reading), value, city,
     municipality, space, arg_room.
     """
-    ops = [o.upper() for o in ops]
-    # On a stream the bucket is a window() struct: the watermark then lets the
-    # state of closed minutes be dropped.
-    streaming = readings.isStreaming
-    bcol = F.window("time", bucket) if streaming else bucket_start("time", bucket)
-    r = (readings.filter(F.col("data_id").between(0, 3))
-                 .select(bcol.alias("bucket"), "data_id", "mun", "room_id", "time", "data"))
     sets = [["bucket", "data_id", *_LEVEL_KEYS[lv]] for lv in levels]
-    keys = ["bucket", "data_id", "mun", "room_id"]
-    if streaming:
-        # one stateful aggregation (update mode allows no chained aggregates)
-        g = r.groupingSets(sets, *keys).agg(*_row_aggs(ops), F.grouping_id().alias("gid"))
-    else:
-        # Two stages: partials per (bucket, measure, room, municipality) from
-        # the raw rows, then the three levels from the partials.  The grouping
-        # sets expand the (much fewer) partials instead of every reading;
-        # measured 1.3-1.5x faster than expanding raw rows (see PLANS.md).
-        part = r.groupBy(*keys).agg(*_row_aggs(ops))
-        g = part.groupingSets(sets, *keys).agg(*_merge_aggs(ops), F.grouping_id().alias("gid"))
+    g = part.groupingSets(sets, *_PARTIAL_KEYS).agg(*_merge_aggs(ops),
+                                                    F.grouping_id().alias("gid"))
 
     def point(op: str, value: Column, rep: Column) -> Column:
         return F.struct(F.lit(op).alias("op"), value.cast("double").alias("value"),
@@ -131,19 +143,18 @@ def rollup(readings: DataFrame, bucket: str = "1 minute",
                              F.coalesce(F.col("mx"), first)),
         "MIN": lambda: point("MIN", F.coalesce(F.col("mn"), first)["v"],
                              F.coalesce(F.col("mn"), first)),
-        "SUM": lambda: point("SUM", combine_sums(F.col("su"), F.col("sp")), first),
+        "SUM": lambda: point("SUM", combine_sums([F.col(n) for n in _SUMS]), first),
         "COUNT": lambda: point("COUNT", F.col("c"), first),
     }
     level = F.try_element_at(F.create_map(*[x for gid, lv in _LEVEL_OF_GID.items()
                                         for x in (F.lit(gid), F.lit(lv))]), F.col("gid"))
     g = g.select("bucket", "data_id", "mun", "room_id", level.alias("level"),
-                 *[c for c in ("first", "mx", "mn", "su", "sp", "c") if c in g.columns])
+                 *[c for c in ("first", "mx", "mn", *_SUMS, "c") if c in g.columns])
     p = g.select("bucket", "data_id", "mun", "room_id", "level",
                  F.explode(F.array(*[cands[o]() for o in OPS if o in ops])).alias("p"))
     lv = F.col("level")
-    b = F.col("bucket.start") if readings.isStreaming else F.col("bucket")
     return p.select(
-        to_ntz(b).alias("bucket"),
+        to_ntz("bucket").alias("bucket"),
         "data_id",
         metric_name("data_id").alias("metric"),
         "level",

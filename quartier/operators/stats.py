@@ -9,14 +9,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg, exact_sum
+from ..functions.numeric import exact_avg, exact_sum, max_number, min_number
 from ..functions.timefns import bucket_start, interval, slot_index, to_ntz
 from ..schema import DAY_NIGHT_THRESHOLD, LEVELS
-from .rollup import metric_name
-
-_LEVEL_KEYS = {"city": [], "municipality": ["mun"], "space": ["room_id"]}
-_LEVEL_OF_GID = {3: "city", 1: "municipality", 2: "space"}
-
+from .rollup import _LEVEL_KEYS, _LEVEL_OF_GID, metric_name
 
 def as_of_time(readings: DataFrame, as_of: datetime | str | None = None) -> Column:
     """The 'now' of a last-x query: a literal, or max(time) as a scalar subquery.
@@ -49,7 +45,7 @@ def space_stats(readings: DataFrame, levels: Sequence[str] = LEVELS,
     sets = [[*keys, *_LEVEL_KEYS[lv]] for lv in levels]
     g = r.groupingSets(sets, *keys, "mun", "room_id").agg(
         _level_col().alias("level"),
-        F.max("data").alias("max_value"), F.min("data").alias("min_value"),
+        max_number("data").alias("max_value"), min_number("data").alias("min_value"),
         exact_avg("data").alias("avg_value"), F.count(F.lit(1)).alias("n"))
     return g.select(*extra_keys, metric_name("data_id").alias("metric"), "level",
                     F.col("mun").alias("municipality"), F.col("room_id").alias("space"),
@@ -63,7 +59,9 @@ def stats_last(readings: DataFrame, n: int, unit: str, as_of=None,
 
 
 def day_night(avg: Column, threshold: float = DAY_NIGHT_THRESHOLD) -> Column:
-    return F.when(avg >= threshold, F.lit("daytime")).when(avg < threshold, F.lit("nighttime"))
+    """Class of a slot average; none for NaN (Spark orders NaN above numbers)."""
+    return (F.when(F.isnan(avg), F.lit(None))
+             .when(avg >= threshold, F.lit("daytime")).when(avg < threshold, F.lit("nighttime")))
 
 
 def slot_classes(readings: DataFrame, slot: str = "15 minutes",

@@ -15,20 +15,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_avg, exact_sum, max_number, min_number
 from ..functions.timefns import parse_duration, to_ntz
 
 SERIES_TAGS = ["city", "municipality", "space", "aggregate"]
 _TAG_COLUMN = {"_aggregate": "aggregate"}
 
 
-def _agg(name: str, c: Column) -> Column:
-    name = name.lower()
-    from ..functions.numeric import exact_avg, exact_sum
-    fns = {"sum": exact_sum, "min": F.min, "max": F.max, "avg": exact_avg, "count": F.count,
-           "dev": F.stddev_pop, "first": F.first, "last": F.last}
-    if name in ("first", "last"):
-        raise ValueError("first/last need an order; use min_by/max_by")
-    return fns[name](c)
+def _agg(name: str, c: Column, order: Column) -> Column:
+    """An aggregator by name; first and last go by ``order``."""
+    fns = {"sum": exact_sum, "min": min_number, "max": max_number, "avg": exact_avg,
+           "count": F.count, "dev": F.stddev_pop,
+           "first": lambda x: F.min_by(x, order), "last": lambda x: F.max_by(x, order)}
+    return fns[name.lower()](c)
 
 
 def tag_predicate(tag: str, spec: str) -> Column:
@@ -95,8 +94,10 @@ def tsquery(store: DataFrame, metric: str, filters: Mapping[str, str] | None = N
     else:
         bucket = F.col("timestamp")
     per_series = (df.groupBy(bucket.alias("b"), *SERIES_TAGS)
-                    .agg(_agg(ds_agg, F.col("value")).alias("v")))
-    out = per_series.groupBy("b", *gcols).agg(_agg(aggregator, F.col("v")).cast("double")
-                                               .alias("value"))
+                    .agg(_agg(ds_agg, F.col("value"), F.col("timestamp")).alias("v")))
+    # across series, first and last go by the series' tags
+    tags = F.concat_ws("|", *[F.coalesce(F.col(t).cast("string"), F.lit("")) for t in SERIES_TAGS])
+    out = per_series.groupBy("b", *gcols).agg(
+        _agg(aggregator, F.col("v"), tags).cast("double").alias("value"))
     return out.select(F.lit(metric).alias("metric"),
                       to_ntz(F.timestamp_seconds("b")).alias("bucket"), *gcols, "value")

@@ -226,22 +226,3 @@ def q_range_mod_take(spark, sf):
     r = fixtures.readings(spark, sf)
     return r.select("event_id", (F.col("event_id") % 2).alias("parity")) \
             .orderBy("event_id").limit(10)
-
-
-@register("monte_carlo_count", f"""{S.R},
-p as (select cast((event_id * 7919) % 10007 as double) / 10007 as x,
-             cast((event_id * 104729) % 10009 as double) / 10009 as y from r)
-select count(*) filter (where x * x + y * y < 1) as inside, count(*) as total,
-       4.0 * count(*) filter (where x * x + y * y < 1) / count(*) as pi_estimate
-from p having count(*) > 0""")
-def q_monte_carlo_count(spark, sf):
-    """Filter-count of points inside the unit circle, one deterministic point
-    per reading (x, y from the reading id)."""
-    r = fixtures.readings(spark, sf)
-    x = ((F.col("event_id") * 7919) % 10007).cast("double") / 10007
-    y = ((F.col("event_id") * 104729) % 10009).cast("double") / 10009
-    inside = F.when(x * x + y * y < 1, 1)
-    g = r.groupBy(F.lit(1).alias("_k")).agg(F.count(inside).alias("inside"),
-                                           F.count(F.lit(1)).alias("total"))
-    return g.select("inside", "total",
-                    (F.lit(4.0) * F.col("inside") / F.col("total")).alias("pi_estimate"))

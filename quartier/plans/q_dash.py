@@ -20,12 +20,13 @@ from .catalog import register
 def _series(spark, sf, data_id: int):
     r = fixtures.readings(spark, sf)
     return r.filter(F.col("data_id") == data_id).select(
-        F.col("time").alias("ts"), F.col("data").alias("value"), F.col("event_id").alias("seq"))
+        F.col("time").alias("ts"), F.col("data").alias("value"), F.col("event_id").alias("seq"),
+        F.col("room_id").alias("series"))
 
 
 def _series_sql(data_id: int) -> str:
-    return (f"{S.R}, s as (select time as ts, data as value, event_id as seq from r "
-            f"where data_id = {data_id})")
+    return (f"{S.R}, s as (select time as ts, data as value, event_id as seq, "
+            f"room_id as series from r where data_id = {data_id})")
 
 
 # -- carpet --------------------------------------------------------------------------
@@ -95,10 +96,10 @@ _TO = {"minute": "to_minutes", "hour": "to_hours", "day": "to_days", "week": "to
 def _calendar_cte(data_id: int, domain: str, sub: str) -> str:
     su = "minute" if sub == "min" else sub
     return f"""{_series_sql(data_id)},
-dd as (select ts, arg_max(value, seq) as value from s group by ts),
+dd as (select ts, arg_max(value, seq) as value from s group by series, ts),
 b as (select min(ts) as lo, max(ts) as hi from s),
 p as (select date_trunc('{domain}', lo) as d0,
-             cast(least({_N_EXPR[domain]} + 1, 100) as integer) as n from b),
+             cast({_N_EXPR[domain]} + 1 as integer) as n from b),
 doms as (select unnest(generate_series(d0, d0 + {_TO[domain]}(n - 1), interval 1 {domain}))
                 as domain_start from p),
 g as (select domain_start,
@@ -129,12 +130,31 @@ for _k, (_d, _s) in _CALENDARS.items():
         _calendar_builder(2, _d, _s))
 
 
+@register("calendar_week_day_sunday", _series_sql(2) + """,
+dd as (select ts, arg_max(value, seq) as value from s group by series, ts),
+v as (select date_trunc('day', ts) as cell_start, """ + S.xsum("value") + """ as value from dd
+      where not isnan(value) group by 1),
+b as (select min(ts) as lo, max(ts) as hi from s),
+w as (select cast(date_trunc('day', lo) - to_days(cast(dayofweek(lo) as integer)) as timestamp)
+             as d0,
+             cast(date_trunc('day', hi) - to_days(cast(dayofweek(hi) as integer)) as timestamp)
+             as d1 from b),
+g as (select unnest(generate_series(d0, d1 + interval 6 day, interval 1 day)) as cell_start
+      from w)
+select cast(g.cell_start - to_days(cast(dayofweek(g.cell_start) as integer)) as timestamp)
+         as domain_start, g.cell_start, v.value
+from g left join v using (cell_start)""")
+def q_calendar_week_day_sunday(spark, sf):
+    """Weeks that start on Sunday, by day."""
+    return cal.calendar_cells(_series(spark, sf, 2), "week", "day", week_start_monday=False)
+
+
 def _thresholds_cte(data_id: int, sub: str) -> str:
     return f"""
-td as (select ts, arg_max(value, seq) as value from s group by ts),
+td as (select ts, arg_max(value, seq) as value from s group by series, ts),
 tc as (select date_trunc('{sub}', ts) as cell, {S.xsum('value')} as v from td
        where not isnan(value) group by 1),
-st as (select count(*) as c, {S.xsum('v')} as s, {S.xsum('v * v', 8)} as ss, min(v) as mn,
+st as (select count(*) as c, {S.xsum('v')} as s, {S.xsum('v * v')} as ss, min(v) as mn,
               max(v) as mx from tc),
 lh as (select greatest(mn, s / c - sqrt((ss - (s / c) * (s / c)) / c) * 1.5) as lo,
               least(mx, s / c + sqrt((ss - (s / c) * (s / c)) / c) * 1.5) as hi from st),
@@ -167,14 +187,15 @@ def q_calendar_class(spark, sf):
 
 
 @register("calendar_dupes", _series_sql(0) + """
-select cast(epoch(ts) as bigint) as timestamp, arg_max(value, seq) as value,
-       count(*) as writes from s group by ts""")
+select cast(epoch(ts) as bigint) as timestamp, series as space, arg_max(value, seq) as value,
+       count(*) as writes from s group by series, ts""")
 def q_calendar_dupes(spark, sf):
-    """Several points at one timestamp: the last written one is kept."""
+    """Several points of a series at one timestamp: the last written one is kept."""
     s = _series(spark, sf, 0)
-    return (s.groupBy("ts").agg(F.max_by("value", "seq").alias("value"),
-                                F.count(F.lit(1)).alias("writes"))
-             .select(F.unix_seconds("ts").alias("timestamp"), "value", "writes"))
+    return (s.groupBy("series", "ts").agg(F.max_by("value", "seq").alias("value"),
+                                          F.count(F.lit(1)).alias("writes"))
+             .select(F.unix_seconds("ts").alias("timestamp"), F.col("series").alias("space"),
+                     "value", "writes"))
 
 
 @register("calendar_auto_domain", f"""{S.R},
@@ -183,9 +204,9 @@ b as (select data_id, room_id, min(time) as lo, max(time) as hi from r
 x as (select *, cast(floor((epoch(hi) - epoch(lo)) / 86400) + 1 as integer) as days from b)
 select {S.METRIC_CASE} as metric, room_id as space, lo as start_ts, hi as end_ts, days,
        case when days > 31 then 'month' when days > 3 then 'day' else 'hour' end as domain,
-       cast(least(case when days > 31 then {_N_EXPR['month']}
-                       when days > 3 then {_N_EXPR['day']}
-                       else {_N_EXPR['hour']} end + 1, 100) as integer) as range_n
+       cast(case when days > 31 then {_N_EXPR['month']}
+                 when days > 3 then {_N_EXPR['day']}
+                 else {_N_EXPR['hour']} end + 1 as integer) as range_n
 from x""")
 def q_calendar_auto_domain(spark, sf):
     """Domain and range chosen from each series' time span (per measure and space)."""

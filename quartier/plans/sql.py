@@ -82,15 +82,12 @@ s as (select level, municipality, space, slot_start, {xsum('data')} as sum_temp,
 DAY_NIGHT = "case when {a} >= 19 then 'daytime' when {a} < 19 then 'nighttime' end"
 
 
-def xsum(x: str, decimals: int = 4) -> str:
-    """DuckDB mirror of ``numeric.exact_sum``: integer units of 10^-d summed
-    exactly, NaN / inf / huge values summed as doubles."""
-    scale = f"{10 ** decimals}e0"
-    u = f"(({x}) * {scale})"
-    ok = f"(not isnan({x}) and abs({u}) < 9007199254740992e0)"
-    units = f"sum(case when {ok} then cast(floor({u} + 0.5e0) as bigint) end)"
-    rest = f"sum(case when not {ok} then ({x}) end)"
-    return f"(cast(coalesce({units}, 0) as double) / {scale} + coalesce({rest}, 0e0))"
+def xsum(x: str) -> str:
+    """Exact sum of doubles in DuckDB: integers in units of 2^-60, rounded once
+    (0 over no values)."""
+    unit = f"{2 ** 60}e0"
+    total = f"sum(cast(({x}) * {unit} as hugeint))"
+    return f"(coalesce(cast(cast({total} as varchar) as double) / {unit}, 0e0))"
 
 
 def xavg(x: str) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,12 +51,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset, as in unit tests, a private local folder is created and recorded.
+    unset on a local master, as in unit tests, a private folder is created and
+    recorded; on a cluster executors could not share one, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quartier-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -68,7 +70,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/quartier/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

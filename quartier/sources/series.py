@@ -13,19 +13,23 @@ def read_series(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
     csv / tsv / txt: first column is the key (epoch seconds), second the value,
     an optional third the write sequence (last write wins on equal keys);
-    rows whose key or value is not numeric are skipped.  json: one object per
-    line mapping epoch keys to values (``{"1704067200": 3, ...}``).
-    Output: ts (TIMESTAMP), value (DOUBLE), seq (BIGINT; the key when absent).
+    rows whose key or value is not numeric are skipped.  json: objects mapping
+    epoch keys to values, one per line or spread over lines (``{"1704067200": 3, ...}``).
+    Output: ts (TIMESTAMP), value (DOUBLE), seq (BIGINT; the key when absent),
+    and series if the files lie in one folder per series.
     """
     fmt = fmt.lower()
     if fmt in ("csv", "tsv", "txt"):
         sep = {"csv": ",", "tsv": "\t", "txt": " "}[fmt]
         raw = spark.read.option("sep", sep).schema("k string, v string, s string").csv(path)
+        keys = [c for c in ("series",) if c in raw.columns]
         df = raw.select(raw.k.try_cast("double").alias("k"), raw.v.try_cast("double").alias("value"),
-                        raw.s.try_cast("long").alias("s")).filter(
+                        raw.s.try_cast("long").alias("s"), *keys).filter(
             F.col("k").isNotNull() & F.col("value").isNotNull())
     elif fmt == "json":
-        raw = spark.read.text(path)
+        # an object may span lines: a file is one text; objects per line are cut apart
+        whole = spark.read.option("wholetext", "true").text(path)
+        raw = whole.select(F.explode(F.split("value", r"(?<=\})\s*(?=\{)")).alias("value"))
         m = F.from_json(F.col("value"), "map<string,double>")
         df = (raw.select(F.explode(m).alias("k", "value"))
                  .select(F.col("k").try_cast("double").alias("k"), "value",
@@ -34,14 +38,19 @@ def read_series(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     else:
         raise ValueError(fmt)
     return df.select(F.timestamp_micros((F.col("k") * 1_000_000).cast("long")).alias("ts"),
-                     "value", F.coalesce(F.col("s"), F.col("k").cast("long")).alias("seq"))
+                     "value", F.coalesce(F.col("s"), F.col("k").cast("long")).alias("seq"),
+                     *[c for c in ("series",) if c in df.columns])
 
 
 def write_series_csv(series: DataFrame, path: str) -> None:
-    """Write (ts, value, seq) as 'epoch,value,seq' CSV lines (distributed, no header)."""
-    (series.select(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("k"),
-                   F.col("value").cast("string").alias("v"), F.col("seq").cast("string").alias("s"))
-           .write.mode("overwrite").csv(path))
+    """Write (ts, value, seq) as 'epoch,value,seq' CSV lines (distributed, no
+    header); a ``series`` column becomes one folder per series."""
+    keys = [c for c in ("series",) if c in series.columns]
+    out = series.select(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("k"),
+                        F.col("value").cast("string").alias("v"),
+                        F.col("seq").cast("string").alias("s"), *keys)
+    (out.hint("rebalance", *keys) if keys else out).write.partitionBy(*keys) \
+        .mode("overwrite").csv(path)
 
 
 def with_avro_defaults(df: DataFrame) -> DataFrame:

@@ -3,15 +3,18 @@ wired to stream sources and idempotent sinks.
 
 * Sources: text directory (landing files), Kafka (connector jar needed; not
   bundled), and the events table as a file stream standing in for Kafka.
-* Aggregations use event time with a watermark and run in ``update`` mode.
-* ``foreachBatch`` writes each micro-batch's updated rows to its own
-  ``batch_id=N`` partition with overwrite, so a replayed batch (after a lost
-  executor or a driver restart from the checkpoint) replaces its own output;
-  readers keep the last write per key (the store's upsert semantics).
+* Aggregations are stateless: a micro-batch writes combinable partials (minute
+  roll-ups, pane counts) and readers merge them.  A late reading counts in the
+  batch it arrives in; nothing is dropped and no state grows.
+* ``foreachBatch`` writes each micro-batch to its own ``run=R/batch_id=N``
+  partition with overwrite, so a replayed batch (after a lost executor or a
+  driver restart from the checkpoint) replaces its own output.  R names the
+  checkpoint: a new checkpoint on an old output cannot replace older batches.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,92 +89,86 @@ def kafka_inspect(records: DataFrame) -> DataFrame:
 
 # -- sinks ----------------------------------------------------------------------------
 
-def batch_writer(out_dir: str, fmt: str = "parquet"):
+def batch_writer(out_dir: str, run: str = "0", fmt: str = "parquet"):
     """foreachBatch function: overwrite this batch's own partition."""
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").format(fmt).save(f"{out_dir}/batch_id={batch_id}")
+        df.write.mode("overwrite").format(fmt).save(f"{out_dir}/run={run}/batch_id={batch_id}")
     return write
 
 
-def read_upserts(spark: SparkSession, out_dir: str, keys: Sequence[str]) -> DataFrame:
-    """Latest version of every key over all written micro-batches."""
-    df = spark.read.parquet(out_dir)
-    return last_write_wins(df, keys=list(keys), order="batch_id").drop("batch_id")
+def read_batches(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Everything the micro-batches have written."""
+    return (spark.read.option("basePath", out_dir).parquet(out_dir).drop("run", "batch_id"))
 
 
-def compact_upserts(spark: SparkSession, out_dir: str, keys: Sequence[str],
-                    snapshot_dir: str) -> DataFrame:
-    """Fold all written micro-batches into one deduplicated snapshot table in
-    shared storage (cuts the growing batch history and the read lineage);
-    returns the snapshot as read back."""
-    read_upserts(spark, out_dir, keys).write.mode("overwrite").parquet(snapshot_dir)
-    return spark.read.parquet(snapshot_dir)
+def read_upserts(spark: SparkSession, out_dir: str, keys: Sequence[str]) -> DataFrame:
+    """Latest version of every key over the written micro-batches of one run."""
+    df = spark.read.parquet(out_dir)
+    return last_write_wins(df, keys=list(keys), order="batch_id").drop("batch_id", "run")
 
 
-def _start(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "update",
+def _start(df: DataFrame, per_batch, out_dir: str, checkpoint: str,
            available_now: bool = True, interval: str = "60 seconds") -> StreamingQuery:
-    w = (df.writeStream.outputMode(mode).foreachBatch(batch_writer(out_dir))
+    """Append ``per_batch(micro-batch)`` to ``out_dir``."""
+    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    write = batch_writer(out_dir, run)
+    w = (df.writeStream.foreachBatch(lambda b, i: write(per_batch(b), i))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
-SINK_SALT = 8
-
-
-def salted_cluster(df: DataFrame, keys: list[str], spread: list[str],
-                   salt: int = SINK_SALT) -> DataFrame:
+def salted_cluster(df: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
     """Cluster a stream by its output partition keys before a partitioned file
-    sink: at most ``salt`` files per partition and micro-batch, and a hot
-    partition (one day holding a third of the rows) is spread over ``salt``
-    tasks instead of one.  (AQE's rebalance does not apply to streams.)"""
+    sink: a hot partition (today's day) is spread over as many tasks as the
+    session shuffles to.  (AQE's rebalance does not apply to streams.)"""
+    salt = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = F.pmod(F.hash(*[F.col(c) for c in spread]), F.lit(salt))
     return df.repartition(*[F.col(k) for k in keys], s)
 
 
 # -- jobs -------------------------------------------------------------------------------
 
-ROLLUP_KEYS = ["bucket", "data_id", "metric", "level", "aggregate", "city", "municipality_key",
-               "space"]
-
-
 def start_rollup(readings: DataFrame, out_dir: str, checkpoint: str, bucket: str = "1 minute",
-                 watermark: str = "10 minutes", **trigger) -> StreamingQuery:
-    """Batch layer as one streaming query: every roll-up output per minute."""
-    pts = ro.rollup(readings.withWatermark("time", watermark), bucket)
-    pts = pts.withColumn("municipality_key",
-                         F.when(F.col("level") == "municipality", F.col("municipality")))
-    return _start(pts, out_dir, checkpoint, **trigger)
+                 **trigger) -> StreamingQuery:
+    """Batch layer: each micro-batch's partials per minute, measure and room."""
+    return _start(readings, lambda b: ro.partials(b, bucket), out_dir, checkpoint, **trigger)
 
 
 def read_rollup(spark: SparkSession, out_dir: str) -> DataFrame:
-    return read_upserts(spark, out_dir, ROLLUP_KEYS).drop("municipality_key")
+    """Every roll-up output per minute, from all batches' partials."""
+    return ro.rollup_partials(read_batches(spark, out_dir))
+
+
+def publish_rollup(spark: SparkSession, out_dir: str, points_path: str) -> None:
+    """Write the roll-up points of all batches as the served table, partitioned
+    by metric and day (``sinks.read_points`` reads it)."""
+    from ..sources.sinks import write_points
+    write_points(ro.datapoints(read_rollup(spark, out_dir)), points_path, "rollup",
+                 mode="overwrite")
 
 
 def start_pane_counts(readings: DataFrame, out_dir: str, checkpoint: str,
-                      slide: str = "10 minutes", digits: int = 0,
-                      watermark: str = "1 hour", **trigger) -> StreamingQuery:
-    """Speed layer: incremental counts per (pane, rounded temperature)."""
-    t = (readings.withWatermark("time", watermark).filter(F.col("data_id") == 0)
-         .groupBy(F.window("time", slide).alias("w"),
-                  F.bround("data", digits).alias("temperature"))
-         .agg(F.count(F.lit(1)).alias("n"))
-         .select(F.unix_seconds(F.col("w.start")).alias("pane"), "temperature", "n"))
-    return _start(t, out_dir, checkpoint, **trigger)
+                      slide: str = "10 minutes", digits: int = 0, **trigger) -> StreamingQuery:
+    """Speed layer: each micro-batch's counts per (pane, rounded temperature)."""
+    return _start(readings, lambda b: fq.pane_counts(b, slide, digits), out_dir, checkpoint,
+                  **trigger)
+
+
+def read_panes(spark: SparkSession, out_dir: str) -> DataFrame:
+    return read_batches(spark, out_dir).groupBy("pane", "temperature").agg(F.sum("n").alias("n"))
 
 
 def read_frequent(spark: SparkSession, out_dir: str, k: int = 1, size: str = "1 hour",
                   slide: str = "10 minutes") -> DataFrame:
-    panes = read_upserts(spark, out_dir, ["pane", "temperature"])
-    return fq._out(fq.top_k(fq.window_counts(panes, size, slide), k))
+    return fq._out(fq.top_k(fq.window_counts(read_panes(spark, out_dir), size, slide), k))
 
 
 def read_per_batch(spark: SparkSession, out_dir: str, batch: str = "10 seconds",
                    size: str = "60 seconds") -> DataFrame:
     """Speed layer as coded: largest single-batch group per sliding window,
     from pane counts streamed with ``slide = batch``."""
-    return fq.per_batch_winners(read_upserts(spark, out_dir, ["pane", "temperature"]),
-                                batch, size)
+    return fq.per_batch_winners(read_panes(spark, out_dir), batch, size)
 
 
 def start_raw_points(readings: DataFrame, out_dir: str, checkpoint: str,
@@ -218,7 +215,7 @@ def run_frequent(spark: SparkSession, sf_dir: str, k: int = 1) -> DataFrame:
 
 def run_batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both batch-layer outputs from one source: raw points (stateless, append)
-    and roll-up points (stateful, update); returns the union as the store sees it."""
+    and roll-up partials; returns the union as the store sees it."""
     from ..operators.points import POINT_COLUMNS
     base = scratch_path(spark, "batch-layer")
     src = readings_from_events(event_stream(spark, sf_dir))
@@ -233,7 +230,7 @@ def run_batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream-per-batch")
     q = start_pane_counts(readings_from_events(event_stream(spark, sf_dir)), f"{base}/out",
-                          f"{base}/ckpt", slide="10 seconds", watermark="10 minutes")
+                          f"{base}/ckpt", slide="10 seconds")
     q.awaitTermination()
     return read_per_batch(spark, f"{base}/out")
 

@@ -49,10 +49,10 @@ def start_all(spark: SparkSession, a) -> list:
     qs.append(jobs.start_raw_points(readings, f"{out}/points/raw", f"{out}/_ckpt/raw",
                                     a.available_now, f"{a.interval} seconds"))
     qs.append(jobs.start_rollup(readings, f"{out}/points/rollup_batches", f"{out}/_ckpt/rollup",
-                                watermark=a.watermark, **trig))
+                                **trig))
     speed = {"available_now": a.available_now, "interval": f"{a.speed_interval} seconds"}
     qs.append(jobs.start_pane_counts(readings, f"{out}/speed/panes", f"{out}/_ckpt/panes",
-                                     watermark="1 hour", **speed))
+                                     **speed))
     return qs
 
 
@@ -60,41 +60,29 @@ def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="quartier.streaming.run")
     ap.add_argument("--source", choices=["kafka", "files", "events"], default="kafka")
     ap.add_argument("--bootstrap")
-    ap.add_argument("--topic", default="queueing.sensors")
+    ap.add_argument("--topic", help="Kafka topic (required for --source kafka)")
     ap.add_argument("--path", help="landing directory (files) or table folder (events)")
     ap.add_argument("--out", required=True, help="shared output / checkpoint root")
     ap.add_argument("--id-parts", type=int, default=3)
     ap.add_argument("--interval", type=int, default=60, help="batch-layer trigger (s)")
     ap.add_argument("--speed-interval", type=int, default=10, help="speed-layer trigger (s)")
     ap.add_argument("--landing-interval", type=int, default=5)
-    ap.add_argument("--watermark", default="10 minutes")
     ap.add_argument("--max-files", type=int)
     ap.add_argument("--max-offsets", type=int)
     ap.add_argument("--available-now", action="store_true")
     return ap
 
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def configure_state_store(spark: SparkSession) -> None:
-    """Long-running streams keep state in RocksDB (off-heap, spills to local
-    disk, checkpointed incrementally) unless the deployment chose a provider."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    current = spark.conf.get(key, None)
-    if not current or current.endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(key, STATE_STORE)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-                       "true")
-
-
 def main(argv=None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("quartier-streams").getOrCreate()
-    configure_state_store(spark)
+    if a.source == "kafka" and not a.topic:
+        raise SystemExit("--topic is required for --source kafka")
     qs = start_all(spark, a)
     for q in qs:
         q.awaitTermination()
+    out = a.out.rstrip("/")
+    jobs.publish_rollup(spark, f"{out}/points/rollup_batches", f"{out}/points")
     return 0
 
 

@@ -1,5 +1,5 @@
-"""Structured Streaming twins: availableNow == batch, watermark drops late rows,
-in-progress files are skipped, replays are idempotent."""
+"""Structured Streaming twins: availableNow == batch, late rows count, in-progress
+files are skipped, restarts go on, replays are idempotent."""
 
 import os
 from datetime import datetime
@@ -36,7 +36,12 @@ def _write_lines(d, name, lines, mtime=None):
         os.utime(path, (mtime, mtime))
 
 
-def test_watermark_drops_late_rows_and_hidden_files_skipped(spark):
+def _want(spark, src):
+    from quartier.functions.parse import parse_lines
+    return rollup.rollup(parse_lines(spark.read.text(src + "/[a-z]*.txt")))
+
+
+def test_late_rows_count_and_a_restart_goes_on(spark):
     from quartier.functions.parse import parse_lines
     base = scratch_path(spark, "late")
     src = base + "/in"
@@ -44,23 +49,45 @@ def test_watermark_drops_late_rows_and_hidden_files_skipped(spark):
     _write_lines(src, "a.txt", ["2024-01-01 12:00:05 1-20-0 10.0 1.0"], 1_700_000_000)
     _write_lines(src, ".inprogress.txt", ["2024-01-01 12:00:06 1-20-0 99.0 1.0"], 1_700_000_001)
     _write_lines(src, "b.txt", ["2024-01-01 13:00:05 1-20-0 11.0 1.0"], 1_700_000_002)
-    _write_lines(src, "c.txt", ["2024-01-01 13:10:05 1-20-0 12.0 1.0"], 1_700_000_003)
-    # arrives last, an hour behind the watermark: dropped.  (Spark filters late
-    # input against the previous batch's watermark, hence the extra file above.)
+    _write_lines(src, "c.txt", ["2024-01-01 13:10:05 1-20-0 nan 1.0"], 1_700_000_003)
     _write_lines(src, "d.txt", ["2024-01-01 12:00:07 1-20-0 50.0 1.0"], 1_700_000_004)
-    readings = parse_lines(jobs.line_stream(spark, src, max_files=1))
-    q = jobs.start_rollup(readings, base + "/out", base + "/ckpt", watermark="10 minutes")
-    q.awaitTermination()
-    out = jobs.read_rollup(spark, base + "/out").filter("level = 'city'")
-    mx = {r["bucket"]: r["value"] for r in out.filter("aggregate = 'MAX'").collect()}
-    assert mx == {datetime(2024, 1, 1, 12, 0): 10.0, datetime(2024, 1, 1, 13, 0): 11.0,
-                  datetime(2024, 1, 1, 13, 10): 12.0}
-    dropped = sum(s.numRowsDroppedByWatermark for p in q.recentProgress
-                  for s in p.stateOperators)
-    assert dropped >= 1
-    # closed minutes are evicted: 3 minutes x 3 levels were aggregated, fewer
-    # keys remain in the state store at the end
-    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] < 9
+
+    def run(checkpoint):
+        readings = parse_lines(jobs.line_stream(spark, src, max_files=1))
+        jobs.start_rollup(readings, base + "/out", base + checkpoint).awaitTermination()
+        return jobs.read_rollup(spark, base + "/out")
+
+    out = run("/ckpt")
+    mx = {r["bucket"]: r["value"] for r in out.filter("aggregate = 'MAX' and level = 'city'").collect()}
+    assert mx[datetime(2024, 1, 1, 12, 0)] == 50.0 and mx[datetime(2024, 1, 1, 13, 0)] == 11.0
+    assert out.exceptAll(_want(spark, src)).count() == 0 and out.count() == _want(spark, src).count()
+    # a restart from the checkpoint reads new files only; later rows still count
+    _write_lines(src, "e.txt", ["2024-01-01 12:00:09 1-20-0 70.0 1.0"], 1_700_000_005)
+    out = run("/ckpt")
+    assert out.exceptAll(_want(spark, src)).count() == 0 and out.count() == _want(spark, src).count()
+    # a new checkpoint on the same output replaces nothing
+    before = jobs.read_batches(spark, base + "/out").count()
+    run("/ckpt-2")
+    assert jobs.read_batches(spark, base + "/out").count() > before
+
+
+def test_many_small_batches_equal_one(spark):
+    """Files in falling time order, one per micro-batch."""
+    base = scratch_path(spark, "order")
+    ev = fixtures.events(spark, SF)
+    cuts = ev.approxQuantile("event_id", [0.25, 0.5, 0.75], 0)
+    for i, (lo, hi) in enumerate(zip([*cuts[::-1], -1], [10**9, *cuts[::-1]])):
+        ev.filter((F.col("event_id") > lo) & (F.col("event_id") <= hi)).coalesce(1) \
+            .write.mode("append").parquet(base + "/events.parquet")
+    src = fixtures.readings_from_events(jobs.event_stream(spark, base, max_files=1))
+    jobs.start_rollup(src, base + "/out", base + "/c1").awaitTermination()
+    jobs.start_pane_counts(src, base + "/panes", base + "/c2").awaitTermination()
+    want = rollup.rollup(fixtures.readings(spark, SF))
+    got = jobs.read_rollup(spark, base + "/out")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    from quartier.operators import frequent as fq
+    top, best = jobs.read_frequent(spark, base + "/panes"), fq.frequent_top(fixtures.readings(spark, SF), 1)
+    assert top.exceptAll(best).count() == 0 and best.exceptAll(top).count() == 0
 
 
 def test_replayed_batch_is_idempotent(spark):
@@ -91,8 +118,9 @@ def test_runner_starts_all_layers(spark):
     assert len(qs) == 4
     raw = spark.read.parquet(base + "/points/raw")
     assert raw.count() == fixtures.readings(spark, SF).count()
-    snap = jobs.compact_upserts(spark, base + "/points/rollup_batches", jobs.ROLLUP_KEYS,
-                                base + "/points/rollup")
+    jobs.publish_rollup(spark, base + "/points/rollup_batches", base + "/points")
+    from quartier.sources import sinks
+    snap = sinks.read_points(spark, base + "/points", kinds=("rollup",))
     assert snap.count() == rollup.rollup(fixtures.readings(spark, SF)).count()
     assert spark.read.text(base + "/landing").count() == fixtures.events(spark, SF).count()
 
@@ -148,19 +176,10 @@ def test_runner_on_landing_files(spark):
     assert top.exceptAll(want).count() == 0 and want.exceptAll(top).count() == 0
 
 
-def test_runner_main_with_rocksdb_state(spark):
+def test_runner_main_publishes_the_rollup_table(spark):
+    from quartier.sources import sinks
     from quartier.streaming import run
     base = scratch_path(spark, "runner-main")
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    try:
-        assert run.main(["--source", "events", "--path", SF, "--out", base,
-                         "--available-now"]) == 0
-        assert spark.conf.get(key) == run.STATE_STORE
-        snap = jobs.read_rollup(spark, base + "/points/rollup_batches")
-        assert snap.count() == rollup.rollup(fixtures.readings(spark, SF)).count()
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    assert run.main(["--source", "events", "--path", SF, "--out", base, "--available-now"]) == 0
+    snap = sinks.read_points(spark, base + "/points", kinds=("rollup",))
+    assert snap.count() == rollup.rollup(fixtures.readings(spark, SF)).count()
