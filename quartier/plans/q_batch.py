@@ -74,7 +74,8 @@ def q_rollup_points(spark, sf):
     return rollup.rollup(fixtures.readings(spark, sf), "1 minute")
 
 
-@register("rollup_reaggregate_hour", S.rollup("date_trunc('hour', time)"))
+@register("rollup_reaggregate_hour",
+          S.rollup("date_trunc('hour', time)", part="date_trunc('minute', time)"))
 def q_rollup_reaggregate_hour(spark, sf):
     """Minute roll-ups combined into hours == hourly roll-up of the raw data."""
     minutes = rollup.rollup(fixtures.readings(spark, sf), "1 minute")

@@ -17,8 +17,14 @@ def last_period(n: int, unit: str, src: str = "r") -> str:
             f"and time <= {AS_OF}")
 
 
-def rollup(bucket_expr: str, ops=("MAX", "MIN", "SUM", "COUNT")) -> str:
-    """Roll-up points per bucket x measure x level, one row per operator."""
+def rollup(bucket_expr: str, ops=("MAX", "MIN", "SUM", "COUNT"), part: str | None = None) -> str:
+    """Roll-up points per bucket x measure x level, one row per operator; with
+    ``part``, SUM adds up the sums of these smaller buckets."""
+    total = f"select level, bucket, data_id, gk, {xsum('data')} as s, count(*) as c from lv"
+    if part:
+        total = (f"select level, bucket, data_id, gk, {xsum('s')} as s, sum(c) as c from ("
+                 f"select level, bucket, data_id, gk, {xsum('data')} as s, count(*) as c from lv "
+                 f"group by level, bucket, data_id, gk, {part})")
     op_list = ", ".join(f"'{o}'" for o in ops)
     return f"""{R},
 b as (select {bucket_expr} as bucket, data_id, mun, room_id, time, data
@@ -34,8 +40,7 @@ rk as (select *,
         row_number() over (partition by level, bucket, data_id, gk
                            order by time, room_id) as rfirst
        from lv),
-tot as (select level, bucket, data_id, gk, {xsum('data')} as s, count(*) as c
-        from lv group by level, bucket, data_id, gk),
+tot as ({total} group by level, bucket, data_id, gk),
 pts as (select level, bucket, data_id, 'MAX' as aggregate, time, data as value, mun, room_id
         from rk where rmax = 1
         union all select level, bucket, data_id, 'MIN', time, data, mun, room_id
