@@ -44,6 +44,19 @@ def to_document(points: DataFrame) -> DataFrame:
     return points.select(F.to_json(doc).alias("value"))
 
 
+_DOCUMENT = ("metric string, timestamp bigint, value double, groupByAggregator string, "
+             "tags struct<city:string,municipality:int,space:int>")
+
+
+def read_document(docs: DataFrame) -> DataFrame:
+    """Fields of JSON documents (column ``value``) and the tags each one has."""
+    d = docs.select(F.from_json("value", _DOCUMENT).alias("d"),
+                    F.json_object_keys(F.get_json_object("value", "$.tags")).alias("k"))
+    return d.select("d.metric", "d.timestamp", "d.value", *[f"d.tags.{t}" for t in TAG_COLUMNS],
+                    F.coalesce("d.groupByAggregator", F.lit(RAW_TAG)).alias("aggregate"),
+                    F.array_join("k", ",").alias("tag_keys"))
+
+
 _FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date",
                 "timestamp", "timestamp_ntz")
 
@@ -71,14 +84,15 @@ def last_write_wins(points: DataFrame, keys: Sequence[str] = ("metric", *TAG_COL
     return g.select(*keys, *[F.col("_w")[c].alias(c) for c in others])
 
 
-def retain(df: DataFrame, years: int = 10, time_col: str = "time", as_of=None) -> DataFrame:
-    """Drop readings older than ``years`` before the as-of time.
+def retain(df: DataFrame, years: int = 10, time_col: str = "time", as_of=None,
+           days: int | None = None) -> DataFrame:
+    """Drop readings older than ``years`` (or ``days``) before the as-of time.
 
     On a table partitioned by ``day`` the cut-off also bounds the partition
     column, so expired partitions are pruned rather than scanned."""
     from .stats import as_of_time
     now = as_of_time(df.withColumnRenamed(time_col, "time") if time_col != "time" else df, as_of)
-    cut = now - interval(years, "years")
+    cut = now - (interval(years, "years") if days is None else interval(days, "days"))
     out = df.filter(F.col(time_col) >= cut)
     if "day" in df.columns:
         out = out.filter(F.col("day") >= F.to_date(cut))

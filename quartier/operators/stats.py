@@ -93,12 +93,11 @@ def slot_classes(readings: DataFrame, slot: str = "15 minutes",
 
 def slot_rollup(readings: DataFrame, last_n: int, last_unit: str, bucket: str,
                 as_of=None, levels: Sequence[str] = LEVELS,
-                threshold: float = DAY_NIGHT_THRESHOLD) -> DataFrame:
+                threshold: float = DAY_NIGHT_THRESHOLD, slot: str = "15 minutes") -> DataFrame:
     """Query 2 roll-up: over the last n days/weeks/months/years, per coarser
-    bucket (hour, day, week, month): number of daytime and nighttime
-    15-minute slots, the bucket's own average temperature and its class."""
-    slots = slot_classes(last_period(readings, last_n, last_unit, as_of), "15 minutes",
-                         levels, threshold)
+    bucket (hour, day, week, month): number of daytime and nighttime slots of
+    length ``slot``, the bucket's own average temperature and its class."""
+    slots = slot_classes(last_period(readings, last_n, last_unit, as_of), slot, levels, threshold)
     b = bucket_start(F.col("slot_start").cast("timestamp"), bucket)
     g = (slots.groupBy("level", "municipality", "space", b.alias("bucket"))
               .agg(F.sum(F.when(F.col("period") == "daytime", 1).otherwise(0)).alias("daytime_slots"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..functions.timefns import to_ntz
-from ..operators import enrich, points, rollup, stats
+from ..operators import enrich, points, ranges, rollup, stats
 from ..schema import MEASURES
 from ..sources import dims, fixtures
 from . import sql as S
@@ -117,6 +117,25 @@ for _k, (_n, _u) in _LAST.items():
              f"{S.space_stats('f')}")(_stats_builder(_n, _u))
 
 
+@register("stats_last_space",
+          f"{S.R}, f as ({S.last_period(7, 'days')} and data_id = 0 and room_id = 10)"
+          f"{S.space_stats('f')}")
+def q_stats_last_space(spark, sf):
+    """Temperature of one space over the last 7 days (as-of time of all data)."""
+    r = fixtures.readings(spark, sf)
+    last = stats.last_period(r, 7, "days").filter(F.col("data_id") == 0)
+    return stats.space_stats(ranges.space_filter(last, "space", 10))
+
+
+@register("stats_last_municipality",
+          f"{S.R}, f as ({S.last_period(7, 'days')} and data_id between 0 and 3 and mun = 3)"
+          f"{S.space_stats('f')}")
+def q_stats_last_municipality(spark, sf):
+    """One municipality over the last 7 days."""
+    last = stats.last_period(fixtures.readings(spark, sf), 7, "days")
+    return stats.space_stats(ranges.space_filter(last, "municipality", 3))
+
+
 # -- Query 2: day / night slots ------------------------------------------------------
 
 @register("slot_day_night", f"""{S.R}, {S.slots('r')}
@@ -128,6 +147,22 @@ def q_slot_day_night(spark, sf):
     return stats.slot_classes(fixtures.readings(spark, sf))
 
 
+_HOURS = S.slots("p", "6 hours")
+
+
+@register("slot_rollup_6h_slots", f"""{S.R}, p as ({S.last_period(14, "days")}), {_HOURS},
+c as (select *, {S.DAY_NIGHT.format(a='sum_temp / n')} as period from s)
+select level, municipality, space, date_trunc('week', slot_start) as bucket,
+       cast(sum(case when period = 'daytime' then 1 else 0 end) as bigint) as daytime_slots,
+       cast(sum(case when period = 'nighttime' then 1 else 0 end) as bigint) as nighttime_slots,
+       cast(sum(n) as bigint) as n, {S.xsum('sum_temp')} / sum(n) as avg_temp,
+       {S.DAY_NIGHT.format(a=S.xsum('sum_temp') + ' / sum(n)')} as period
+from c group by level, municipality, space, date_trunc('week', slot_start)""")
+def q_slot_rollup_6h_slots(spark, sf):
+    """Query 2 with six-hour slots, by week."""
+    return stats.slot_rollup(fixtures.readings(spark, sf), 14, "days", "week", slot="6 hours")
+
+
 _SLOT_ROLLUPS = {"hour": (7, "days"), "day": (14, "days"), "week": (1, "month"),
                  "month": (1, "year")}
 
@@ -210,12 +245,28 @@ def q_retention_10y(spark, sf):
     return _readings_out(points.retain(fixtures.readings(spark, sf), years=10))
 
 
-@register("points_json")
+@register("retention_10d", f"""{S.R}
+select event_id, time, mun, room_id, data_id, data, voltage from r
+where time >= {S.AS_OF} - interval 10 day""")
+def q_retention_10d(spark, sf):
+    """A retention that removes rows at this scale."""
+    return _readings_out(points.retain(fixtures.readings(spark, sf), days=10))
+
+
+@register("points_json", f"""
+with rp as ({S.rollup("date_trunc('minute', time)")}),
+rw as ({S.R} select {S.METRIC_CASE} as metric, cast(epoch(time) as bigint) as timestamp,
+       data as value, 'Brussels' as city, mun as municipality, room_id as space,
+       'RAW' as aggregate from r where data_id between 0 and 3),
+u as (select metric, timestamp, value, city, municipality, space, aggregate from rw union all
+      select metric, timestamp, value, city, municipality, space, aggregate from rp)
+select *, 'city' || case when municipality is null then '' else ',municipality' end
+          || case when space is null then '' else ',space' end as tag_keys from u""")
 def q_points_json(spark, sf):
-    """Wire documents of raw + roll-up points (JSON; rows-only check)."""
+    """Wire documents of raw + roll-up points, their fields parsed back."""
     r = fixtures.readings(spark, sf)
     pts = points.serving_union(points.raw_points(r), rollup.datapoints(rollup.rollup(r)))
-    return points.to_document(pts)
+    return points.read_document(points.to_document(pts))
 
 
 # -- demo operators re-aimed at the readings ---------------------------------------------

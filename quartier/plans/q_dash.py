@@ -64,6 +64,11 @@ for _a, _f in _CARPET.items():
         _carpet_builder(_f, _a.upper()))
 
 
+@register("carpet_minute", _carpet_cte("MINUTE", "MAX") + " select * from cells")
+def q_carpet_minute(spark, sf):
+    return cp.carpet(_series(spark, sf, 0), "MINUTE", "MAX")
+
+
 @register("carpet_stats", _carpet_cte("QUARTER", "AVG") + """
 select min(value) as min_value, max(value) as max_value, count(value) as filled,
        count(*) as cells from cells""")

@@ -71,10 +71,10 @@ union all
 select {METRIC_CASE}, 'space', null::integer, room_id, {cols} from {src} group by data_id, room_id"""
 
 
-def slots(src: str) -> str:
-    """CTEs t, lv, s: 15-minute temperature slots at each level over ``src``."""
+def slots(src: str, width: str = "15 minutes") -> str:
+    """CTEs t, lv, s: temperature slots at each level over ``src``."""
     return f"""
-t as (select time_bucket(interval '15 minutes', time) as slot_start, mun, room_id, data
+t as (select time_bucket(interval '{width}', time) as slot_start, mun, room_id, data
       from {src} where data_id = 0),
 lv as (select 'city' as level, null::integer as municipality, null::integer as space,
               slot_start, data from t
