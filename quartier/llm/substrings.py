@@ -34,8 +34,8 @@ from .common import NO_ID, texts, without_ids, written
 from .suffixes import PAD, common_prefix_reaches, suffix_array
 
 #: Text per group of documents, and per shard of anchors.
-GROUP_BYTES = 8 << 20
-SHARD_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
+SHARD_BYTES = 4 << 20
 #: Text whose anchors are found at once.
 _PIECE = 1 << 20
 _LONGEST = 2 * WINDOW  # a context is shorter
