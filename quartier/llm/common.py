@@ -22,8 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows per Arrow batch. Spark's default of 10000 suits narrow rows; of texts it
+#: would hold tens of megabytes in the JVM and in every Python worker.
+BATCH_ROWS = 2000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session has chosen a size itself."""
+    if spark.conf.get(_BATCH_KEY) == "10000":
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text alone (null text: empty); other columns are ignored."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
