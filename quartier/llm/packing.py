@@ -40,9 +40,8 @@ _SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\
 _WORD = re.compile(f"[^{_SPACE}]+")
 #: Characters that str.split() takes for white space and the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
-#: Plain words: Latin letters that need no normalising beyond lower case, then
-#: ASCII punctuation. The pre-tokenizer cuts them in two just there.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\\[-`{-~]*)")
+# ASCII punctuation, which the pre-tokenizer cuts off a word as one piece.
+_TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Stands for the end of a word in merges; plain words do not hold it.
 _STOP = "\x00"
 
@@ -51,6 +50,11 @@ PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
          "sequence_id long, `offset` long")
 
 
+def _plain(word: str) -> bool:
+    """Latin letters that need no normalising beyond lower case, one for one."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and "\u0130" not in word))
+
+
 def _byte_of_char() -> dict[str, int]:
     """Byte-level tokenizers write bytes as printable characters: those that are
     printable in Latin-1 as themselves, the others from U+0100 on, in order."""
@@ -126,7 +130,8 @@ class Encoder:
         found = [[] if i in whole else _WORD.findall(t) if _ODD.search(t) else t.split()
                  for i, t in enumerate(batch)]
         words = set().union(*found)
-        letters = [w for w in words if w.isascii() and w.isalpha()] if self.merges else []
+        letters = ([w for w in words if w.isalpha() and (w.isascii() or _plain(w))]
+                   if self.merges else [])
         lower = [w.lower() for w in letters]
         # words of letters and a tail of punctuation, in three parallel lists
         tailed: list[str] = []
@@ -134,11 +139,11 @@ class Encoder:
         tail: list[str] = []
         odd: list[str] = []
         for w in words.difference(letters):
-            m = _PLAIN.fullmatch(w) if self.merges else None
-            if m:
+            core = w.rstrip(_TAIL)
+            if self.merges and core and _plain(core):
                 tailed.append(w)
-                body.append(m[1].lower())
-                tail.append(m[2])
+                body.append(core.lower())
+                tail.append(w[len(core):])
             else:
                 odd.append(w)
         cores = list(set(lower).union(body))
