@@ -19,6 +19,9 @@ from quartier.llm.common import fold, table, with_ids, written
 from quartier.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near copies share this many percent of their shingles of so many words
+#: (op5's own contract, three words and 90, is the query's).
+SHINGLE, PERCENT = 5, 80
 
 
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -41,7 +44,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Of each group of near copies the document of the smallest id stays; rows
     that repeat an id count once."""
     docs = docs.select(*COLUMNS)
-    kept = (jaccard.join(docs).filter("doc_id = component_id").select("doc_id").distinct())
+    kept = (jaccard.join(docs, n=SHINGLE, percent=PERCENT)
+            .filter("doc_id = component_id").select("doc_id").distinct())
     kept = written(kept, scratch_path(spark, "kept"))
     out = _kept(docs, kept)
     repeated = out.groupBy("doc_id").count().filter("count > 1")
