@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartier.llm import decontaminate, jaccard, packing, quality, substrings
-from quartier.llm.common import fold, table, with_ids, written
+from quartier.llm.common import NO_ID, fold, table, with_ids, written
 from quartier.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,51 +24,67 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE, PERCENT = 5, 80
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the given non-null ids; rows without an id are not judged by id
-    and stay."""
-    found = with_ids(docs.filter(F.col("doc_id").isNotNull()), ids)
-    return found.unionByName(docs.filter(F.col("doc_id").isNull())).select(*COLUMNS)
+def _keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """COLUMNS and ``row``, a key that no two rows share, in the order of doc_id
+    (null last). Distinct ids are their own keys; if any is null or repeats, the
+    rows are sorted, numbered and written, so a rerun finds the same numbers."""
+    docs = docs.select(*COLUMNS)
+    row = F.col("doc_id").cast("long")
+    shared = (docs.groupBy(row.alias("id")).count()
+              .filter(F.col("id").isNull() | (F.col("id") == NO_ID) | (F.col("count") > 1)))
+    if shared.limit(1).count() == 0:
+        return docs.withColumn("row", row)
+    # the hash spreads rows of one id over the tasks of the sort
+    ordered = docs.orderBy(row.asc_nulls_last(), F.xxhash64(*COLUMNS))
+    return written(ordered.withColumn("row", F.monotonically_increasing_id()),
+                   scratch_path(spark, "keyed"))
+
+
+def _by_row(keyed: DataFrame) -> DataFrame:
+    """What an operator judges: the row key in the place of the id."""
+    return keyed.select(F.col("row").alias("doc_id"), "text")
+
+
+def _kept(keyed: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows whose keys an operator has returned as doc_id."""
+    return with_ids(keyed, judged.select(F.col("doc_id").alias("row")), "row").select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. Labels are learnt from two
-    thirds of the ids, as in the operator's query. Rows without an id stay."""
-    docs = docs.select(*COLUMNS)
-    word_table, net = quality.train(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
-    judged = quality.score(docs, word_table, net).filter("score >= 0.5 and doc_id is not null")
-    return _kept(docs, judged.select("doc_id").distinct())
+    thirds of the ids, as in the operator's query."""
+    keyed = _keyed(spark, docs)
+    word_table, net = quality.train(keyed.select(*COLUMNS), table(spark, sf_dir, "labels"),
+                                    fold(3) != 1)
+    return _kept(keyed, quality.score(_by_row(keyed), word_table, net).filter("score >= 0.5"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id stays; rows
-    that repeat an id count once."""
-    docs = docs.select(*COLUMNS)
-    kept = (jaccard.join(docs, n=SHINGLE, percent=PERCENT)
-            .filter("doc_id = component_id").select("doc_id").distinct())
-    kept = written(kept, scratch_path(spark, "kept"))
-    out = _kept(docs, kept)
-    repeated = out.groupBy("doc_id").count().filter("count > 1")
-    return out if repeated.limit(1).count() == 0 else out.dropDuplicates(["doc_id"])
+    """Of each group of near copies the row of the smallest id stays (of rows
+    that share it, one); rows that share an id but not the text are no copies."""
+    keyed = _keyed(spark, docs)
+    kept = (jaccard.join(_by_row(keyed), n=SHINGLE, percent=PERCENT)
+            .filter("doc_id = component_id").select("doc_id"))
+    return _kept(keyed, written(kept, scratch_path(spark, "kept")))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings that a document of smaller id also has are cut out; a
-    character cut in two becomes U+FFFD. Documents left without a word go."""
-    docs = docs.select(*COLUMNS)
-    cut = substrings.remove_repeats(docs).select(
-        F.col("doc_id").alias("id"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
-    return (docs.drop("text", "n_chars").join(cut, F.col("doc_id").eqNullSafe(F.col("id")))
+    """Bytes of strings that an earlier row also has (of smaller id, or one of
+    several rows of an id) are cut out; a character cut in two becomes U+FFFD.
+    Documents left without a word go."""
+    keyed = _keyed(spark, docs)
+    cut = substrings.remove_repeats(_by_row(keyed)).select(
+        F.col("doc_id").alias("row"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
+    return (keyed.drop("text", "n_chars").join(cut, "row")
             .filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    docs = docs.select(*COLUMNS)
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    clean = found.groupBy("doc_id").agg(F.max("contaminated").alias("hit")).filter("not hit")
-    return _kept(docs, clean.filter("doc_id is not null").select("doc_id"))
+    keyed = _keyed(spark, docs)
+    found = decontaminate.contamination(_by_row(keyed), table(spark, sf_dir, "benchmark"))
+    return _kept(keyed, found.filter("not contaminated"))
 
 
 def lexical_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
