@@ -2,10 +2,13 @@
 
 Documents become token ids in one pass. Whole windows inside a long document
 are sequences of their own; the rest of each document, its tail, is packed with
-others. Tails are split by hash into shards of bounded size; each shard builds
-a BM25 inverted index over the documents' token ids. A seed document asks the
-index for unused neighbours, which fill its window greedily; the last one is cut
-where the window ends and its remainder seeds the next.
+others. Tails are dealt to shards of bounded size by content: a document's BM25
+weights, with the document frequencies of the whole corpus, are projected to a
+short vector, and vectors go to the nearest of the corpus's centroids, found in
+two levels; only what is still too large (copies) is split by row. Each shard builds a BM25 inverted index over its documents'
+token ids. A seed document asks the index for unused neighbours, which fill its
+window greedily; the last one is cut where the window ends and its remainder
+seeds the next.
 """
 
 from __future__ import annotations
@@ -14,13 +17,17 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from ..session import scratch_path
+from .common import texts, written
 
 WINDOW = 2048
 #: Documents per shard, about.
@@ -32,6 +39,14 @@ BATCH = 2000
 #: Neighbours looked at for one that fits before one is cut.
 LOOK = 16
 K1, B = 1.2, 0.75
+#: Terms whose document frequencies travel in one row.
+_TERMS = 4096
+#: Length of the vectors that documents are dealt by.
+DIM = 64
+#: Centroids of the first level, at most; the second level grows with the corpus.
+CELLS = 512
+#: Vectors that the centroids are found on, per centroid.
+SAMPLE = 64
 #: Remembered pieces per worker; beyond it the memory starts afresh.
 MEMORY = 200_000
 
@@ -168,9 +183,11 @@ def crc(ids: np.ndarray) -> int:
 
 def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFrame:
     """Per document: number of ids, crc of each whole window, the tail's ids,
-    and the distinct ids with their frequencies (at most 255)."""
+    and the distinct ids with their frequencies (at most 255). Rows of negative
+    doc_tokens hold a task's document frequencies, by block of ids."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = Encoder(path, end)
+        df = np.zeros(-(-max(enc.tok.get_vocab_size(), end + 1) // _TERMS) * _TERMS, np.int64)
         for b in batches:
             for at in range(0, len(b), BATCH):
                 part = b.iloc[at:at + BATCH]
@@ -181,29 +198,210 @@ def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFr
                     full = np.array([crc(ids[i:i + window]) for i in range(0, cut, window)],
                                     "<u4")
                     terms, tf = np.unique(ids, return_counts=True)
+                    df[terms] += 1
                     rows.append((doc, n, full.tobytes(), ids[cut:].tobytes(), terms.tobytes(),
                                  np.minimum(tf, 255).astype(np.uint8).tobytes()))
                 yield pd.DataFrame(rows, columns=["doc_id", "doc_tokens", "full", "tail",
                                                   "terms", "tf"]).astype({"doc_id": "Int64"})
+        if df.any():
+            yield pd.DataFrame([(None, -1 - i, b"", b"", x.tobytes(), b"")
+                                for i, x in enumerate(df.reshape(-1, _TERMS))],
+                               columns=["doc_id", "doc_tokens", "full", "tail", "terms",
+                                        "tf"]).astype({"doc_id": "Int64"})
 
     return texts(docs).mapInPandas(run, _DOC)
 
 
+@dataclass
+class Corpus:
+    """Documents, their mean length in ids, and each id's document frequency."""
+    n: int
+    mean: float
+    df: np.ndarray
+
+    def weight(self, term: np.ndarray, tf: np.ndarray, length) -> np.ndarray:
+        """BM25 weights of terms in documents of the given lengths."""
+        df, tf = self.df[term], tf.astype(np.float64)
+        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(self.mean, 1e-9)))
+
+
+def corpus(encoded: DataFrame) -> Corpus:
+    """Counts over the whole of ``encoded``."""
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        df = sum(np.frombuffer(x, np.int64) for x in pdf["terms"])
+        return pd.DataFrame({"block": [-1 - int(pdf["doc_tokens"].iloc[0])], "df": [df.tobytes()]})
+
+    parts = sorted(encoded.filter("doc_tokens < 0").select("doc_tokens", "terms")
+                   .groupBy("doc_tokens").applyInPandas(total, "block long, df binary").collect())
+    n, length = encoded.filter("doc_tokens > 0").agg(
+        F.count("*"), F.coalesce(F.avg("doc_tokens"), F.lit(0.0))).first()
+    return Corpus(n, length, np.concatenate([np.frombuffer(r["df"], np.int64) for r in parts])
+                  if parts else np.zeros(0, np.int64))
+
+
+@cache
+def _projection(size: int) -> np.ndarray:
+    """One random direction per id (a fixed seed)."""
+    return np.random.default_rng(20240611).standard_normal((size, DIM), np.float32)
+
+
+def vectors(whole: Corpus, terms: list[np.ndarray], tf: list[np.ndarray],
+            length: np.ndarray) -> np.ndarray:
+    """Projected BM25 weights of documents, of length one."""
+    out = np.zeros((len(terms), DIM), np.float32)
+    size = np.cumsum([len(t) for t in terms])
+    at = 0
+    while at < len(terms):  # about 100 000 terms at once
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 100_000)))
+        n = np.array([len(t) for t in terms[at:end]])
+        term = np.concatenate(terms[at:end])
+        weight = whole.weight(term, np.concatenate(tf[at:end]), np.repeat(length[at:end], n))
+        rows = _projection(len(whole.df))[term] * weight.astype(np.float32)[:, None]
+        out[at:end] = np.add.reduceat(rows, np.cumsum(n) - n)
+        at = end
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def nearest(v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    step = max(1, 4_000_000 // len(centroids))
+    return np.concatenate([np.argmax(v[i:i + step] @ centroids.T, axis=1)
+                           for i in range(0, len(v), step)] or [np.zeros(0, np.int64)])
+
+
+def centroids_of(v: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
+    """``k`` centroids of vectors of length one; they start evenly spaced."""
+    c = v[np.linspace(0, len(v) - 1, k).astype(np.int64)].copy()
+    for _ in range(rounds):
+        cell = nearest(v, c)
+        order = np.argsort(cell, kind="stable")
+        met, first = np.unique(cell[order], return_index=True)
+        c[met] = np.add.reduceat(v[order], first)
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
+    return c
+
+
+def _read(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.float16).reshape(-1, DIM).astype(np.float32)
+
+
+@dataclass
+class Shards:
+    """Places of documents: first-level centroids, those below a large cell,
+    and the shards and row-wise splits of the places."""
+    top: np.ndarray
+    below: dict[int, np.ndarray]
+    shard: np.ndarray | None = None
+    parts: np.ndarray | None = None
+
+    def place(self, v: np.ndarray) -> np.ndarray:
+        size = np.ones(len(self.top), np.int64)
+        for cell, c in self.below.items():
+            size[cell] = len(c)
+        cell = nearest(v, self.top)
+        out = (np.cumsum(size) - size)[cell]
+        for i in np.unique(cell).tolist():
+            if i in self.below:
+                own = cell == i
+                out[own] += nearest(v[own], self.below[i])
+        return out
+
+    def number(self, counts: dict[int, int]) -> None:
+        """Neighbouring small places share a shard; large ones get several."""
+        top = max(counts) + 1
+        self.shard, self.parts = np.zeros(top, np.int64), np.ones(top, np.int64)
+        at, held = 0, 0
+        for place in sorted(counts):
+            n = counts[place]
+            if held and held + n > SHARD_DOCS:
+                at, held = at + 1, 0
+            self.shard[place] = at
+            held += n
+            if n > SHARD_DOCS * 3 // 2:
+                self.parts[place] = -(-n // SHARD_DOCS)
+                at, held = at + int(self.parts[place]), 0
+
+    def of(self, v: np.ndarray, row: np.ndarray) -> np.ndarray:
+        place = self.place(v)
+        return self.shard[place] + row % self.parts[place]
+
+
+def deal(encoded: DataFrame, whole: Corpus, dtype: np.dtype) -> DataFrame:
+    """``encoded`` documents with their shard."""
+    rows = encoded.filter("doc_tokens > 0")
+    if not whole.n:
+        return rows.withColumn("shard", F.lit(0).cast("long"))
+    spark = encoded.sparkSession
+    known = spark.sparkContext.broadcast(whole)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = vectors(known.value,
+                        [np.frombuffer(x, dtype) for x in b.column("terms").to_pylist()],
+                        [np.frombuffer(x, np.uint8) for x in b.column("tf").to_pylist()],
+                        b.column("doc_tokens").to_numpy()) if len(b) else []
+            yield b.append_column("v", pa.array([x.astype(np.float16).tobytes() for x in v],
+                                                pa.binary()))
+
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id())
+                   .mapInArrow(project, f"{_DOC}, row long, v binary"),
+                   scratch_path(spark, "vectors"))
+    n_shards = -(-whole.n // SHARD_DOCS)
+    k = min(CELLS, n_shards)
+    every = max(1, whole.n // (k * SAMPLE))
+    chosen = rows.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("row", "v")
+    found = [bytes(r["v"]) for r in sorted(chosen.collect())] if n_shards > 1 else []
+    shards = Shards(centroids_of(_read(found), k) if found else np.zeros((1, DIM), np.float32), {})
+    held = spark.sparkContext.broadcast(shards)
+
+    def places(use):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame({"place": use.value.place(_read(b["v"])), "row": b["row"],
+                                    "v": b["v"]})
+        return rows.select("row", "v").mapInPandas(run, "place long, row long, v binary")
+
+    large = {r["place"]: -(-r["count"] // SHARD_DOCS)
+             for r in places(held).groupBy("place").count().collect()
+             if r["count"] > SHARD_DOCS * 3 // 2}
+    if large:
+        def divide(pdf: pd.DataFrame) -> pd.DataFrame:
+            cell = int(pdf["place"].iloc[0])
+            c = centroids_of(_read(pdf.sort_values("row")["v"]), large[cell])
+            return pd.DataFrame({"place": [cell], "c": [c.astype(np.float32).tobytes()]})
+
+        every = max(1, SHARD_DOCS // SAMPLE)
+        part = places(held).filter(F.col("place").isin(list(large))
+                                   & (F.pmod(F.xxhash64("row", F.lit(1)), F.lit(every)) == 0))
+        shards.below = {r["place"]: np.frombuffer(r["c"], np.float32).reshape(-1, DIM)
+                        for r in part.groupBy("place").applyInPandas(
+                            divide, "place long, c binary").collect()}
+        held = spark.sparkContext.broadcast(shards)
+    shards.number({r["place"]: r["count"]
+                   for r in places(held).groupBy("place").count().collect()})
+    final = spark.sparkContext.broadcast(shards)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shard = final.value.of(_read(b.column("v").to_pylist()), b.column("row").to_numpy())
+            yield b.drop_columns(["row", "v"]).append_column("shard", pa.array(shard, pa.int64()))
+
+    return rows.mapInArrow(assign, f"{_DOC}, shard long")
+
+
 class Index:
-    """BM25 inverted index over the documents of a shard."""
+    """BM25 inverted index over the documents of a shard, weighted by the
+    frequencies of the whole corpus."""
 
-    def __init__(self, terms: list[np.ndarray], tf: list[np.ndarray]):
+    def __init__(self, whole: Corpus, terms: list[np.ndarray], tf: list[np.ndarray],
+                 length: np.ndarray):
         n = len(terms)
         size = np.array([len(t) for t in terms])
         doc = np.repeat(np.arange(n), size)
         term = np.concatenate(terms).astype(np.int64)
-        freq = np.concatenate(tf).astype(np.float64)
-        length = np.bincount(doc, freq, n)
+        weight = whole.weight(term, np.concatenate(tf), length[doc])
         self.vocab, term = np.unique(term, return_inverse=True)
         df = np.bincount(term, minlength=len(self.vocab))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * length[doc] / max(length.mean(), 1e-9))
-        weight = idf[term] * freq * (K1 + 1) / (freq + norm)
         self.query = []  # each document's strongest terms
         ends = np.cumsum(size)
         for a, b in zip(ends - size, ends):
@@ -273,10 +471,14 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = WINDOW) -> Data
     own; an empty table gives an empty result; columns other than doc_id and
     text are ignored.
     """
-    n_shards = max(1, -(-docs.count() // SHARD_DOCS))
+    spark = docs.sparkSession
+    dtype = Encoder(path, end).dtype
+    encoded = written(encode(docs, path, end, window), scratch_path(spark, "encoded"))
+    whole = corpus(encoded)
+    known = spark.sparkContext.broadcast(whole)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        shard, dtype = int(pdf["shard"].iloc[0]), np.dtype(pdf["dtype"].iloc[0])
+        shard = int(pdf["shard"].iloc[0])
         # a fixed order, whatever order the shuffle delivers
         pdf = pdf.sort_values(["doc_id", "tail"], kind="stable", ignore_index=True)
         ids = pdf["doc_id"].to_numpy("int64", na_value=-1)
@@ -289,8 +491,8 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = WINDOW) -> Data
                 seq += 1
         tails = [np.frombuffer(x, dtype) for x in pdf["tail"]]
         left = np.array([len(t) for t in tails])
-        index = Index([np.frombuffer(x, dtype) for x in pdf["terms"]],
-                      [np.frombuffer(x, np.uint8) for x in pdf["tf"]])
+        index = Index(known.value, [np.frombuffer(x, dtype) for x in pdf["terms"]],
+                      [np.frombuffer(x, np.uint8) for x in pdf["tf"]], total)
         done = np.zeros(len(tails), np.int64)
         for filled in _fill(left, index, window):
             offset = 0
@@ -307,8 +509,4 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = WINDOW) -> Data
         return pd.DataFrame({"doc_id": doc, "start": start, "length": length, "ids_crc32": c,
                              "doc_tokens": total[i], "sequence_id": s, "offset": o})
 
-    dtype = Encoder(path, end).dtype.str
-    return (encode(docs, path, end, window)
-            .withColumns({"shard": F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)),
-                          "dtype": F.lit(dtype)})
-            .groupBy("shard").applyInPandas(run, PIECE))
+    return deal(encoded, whole, dtype).groupBy("shard").applyInPandas(run, PIECE)
