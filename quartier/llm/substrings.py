@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -292,6 +292,11 @@ def _apply(n_shards: int):
     return run
 
 
+def group_of(n_groups: int) -> Column:
+    """A row's group: by id and text, so rows of one id or of none spread."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) of every row.
 
@@ -315,7 +320,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     n_groups, n_shards = -(-n_bytes // GROUP_BYTES) or 1, -(-n_bytes // SHARD_BYTES) or 1
 
     x = (without_ids(d, copies)
-         .select(F.pmod(F.xxhash64("doc_id"), F.lit(n_groups)).alias("g"), "doc_id", "text")
+         .select(group_of(n_groups).alias("g"), "doc_id", "text")
          .repartition(n_groups, "g"))
     shared = (x.mapInPandas(_keys(n_shards), _BLOB)
               .groupBy("shard").applyInPandas(_shared, _BLOB))
