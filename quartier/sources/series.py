@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from ..schema import AVRO_VALUE, AVRO_VALUE_DEFAULTS
 
 
-def read_series(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_series(spark: SparkSession, path: str, fmt: str = "csv",
+                multi_line: bool = False) -> DataFrame:
     """A10: (epoch seconds, value) series from json / csv / tsv / txt.
 
     csv / tsv / txt: first column is the key (epoch seconds), second the value,
     an optional third the write sequence (last write wins on equal keys);
     rows whose key or value is not numeric are skipped.  json: objects mapping
-    epoch keys to values, one per line or spread over lines (``{"1704067200": 3, ...}``).
+    epoch keys to values, whole objects per line (``{"1704067200": 3, ...}``); with
+    ``multi_line`` objects may spread over lines, and each file is one row of one task.
+    Without it a line that is no object is an error.
     Output: ts (TIMESTAMP), value (DOUBLE), seq (BIGINT; the key when absent),
     and series if the files lie in one folder per series.
     """
@@ -27,9 +30,14 @@ def read_series(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
                         raw.s.try_cast("long").alias("s"), *keys).filter(
             F.col("k").isNotNull() & F.col("value").isNotNull())
     elif fmt == "json":
-        # an object may span lines: a file is one text; objects per line are cut apart
-        whole = spark.read.option("wholetext", "true").text(path)
-        raw = whole.select(F.explode(F.split("value", r"(?<=\})\s*(?=\{)")).alias("value"))
+        raw = spark.read.text(path, wholetext=multi_line)
+        if not multi_line:
+            raw = raw.filter(F.trim("value") != "").select(
+                F.when(F.col("value").rlike(r"^\s*\{.*\}\s*$"), F.col("value")).otherwise(
+                    F.raise_error(F.lit("a line is no JSON object: multi_line=True reads "
+                                        "objects that spread over lines"))).alias("value"))
+        # several objects of one line or file are cut apart
+        raw = raw.select(F.explode(F.split("value", r"(?<=\})\s*(?=\{)")).alias("value"))
         m = F.from_json(F.col("value"), "map<string,double>")
         df = (raw.select(F.explode(m).alias("k", "value"))
                  .select(F.col("k").try_cast("double").alias("k"), "value",
