@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, jaccard, maxent, packing, quality, rules, substrings, tokencount, urlfilter, warc
+from . import (decontaminate, jaccard, maxent, merkle, packing, quality, rules, substrings,
+               tokencount, urlfilter, warc)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,3 +233,70 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+#: Unsigned crc32 of ASCII text ``x``, bit by bit (null: null).
+_CRC32 = """xor(list_reduce(flatten(list_transform(string_split({x}, ''),
+    lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384 * (c & 1)) END,
+    CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+def _merkle_sql(levels: int = 7, crown: int = 5) -> str:
+    """Trees of up to 16^levels leaves and 16^crown sources; a group that has
+    come down to one node is carried upwards unchanged."""
+    def framed(c: str) -> str:
+        v = f"CAST({c} AS VARCHAR)"
+        return f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')"
+
+    def leaf(text: str) -> str:
+        return ("sha256(" + " || ".join(framed(c) for c in (*merkle.FIELDS[:-1], text)) + ")")
+
+    low = ("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    out = [f"""leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {leaf('text')} AS h,
+    coalesce(crc32 % 5 = 0, false) AS struck, {leaf(low)} AS low
+  FROM (SELECT *, {_CRC32.format(x="CAST(doc_id AS VARCHAR)")} AS crc32 FROM documents)),
+n0 AS (
+  SELECT g, h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+    count(*) OVER (PARTITION BY g) AS n, doc_id,
+    CASE WHEN struck THEN low ELSE h END AS f FROM leaves),
+p0 AS (SELECT doc_id, h AS leaf, f, g, i, n, '' AS path FROM n0)"""]
+
+    def climb(nodes: str, rows: str, k: int) -> str:
+        """One level: runs, their parents, and the rows' folded digests."""
+        return f"""
+{nodes}r{k} AS (SELECT g, i // 16 AS run, any_value(n) AS n, list(h ORDER BY i) AS hs
+  FROM {nodes}{k} GROUP BY g, i // 16),
+{nodes}{k + 1} AS (SELECT g, run AS i, CASE WHEN n > 1 THEN (n + 15) // 16 ELSE 1 END AS n,
+  CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {nodes}r{k}),
+{rows}{k + 1} AS (
+  SELECT * EXCLUDE (i, n, f, path, before, after, run, rn), run AS i,
+    CASE WHEN rn > 1 THEN (rn + 15) // 16 ELSE 1 END AS n,
+    CASE WHEN rn > 1 THEN sha256(before || f || after) ELSE f END AS f,
+    path || before || after AS path
+  FROM (SELECT p.*, run, r.n AS rn, array_to_string(hs[1:i % 16], '') AS before,
+          array_to_string(hs[i % 16 + 2:], '') AS after
+        FROM {rows}{k} p JOIN {nodes}r{k} r ON p.g = r.g AND p.i // 16 = r.run))"""
+
+    out += [climb("n", "p", k) for k in range(levels)]
+    out.append(f"""
+s0 AS (SELECT '' AS g, g AS member, h, row_number() OVER (ORDER BY g) - 1 AS i,
+  count(*) OVER () AS n FROM n{levels}),
+q0 AS (
+  SELECT doc_id, leaf, f, path, s0.h AS subroot, s0.g, s0.i, s0.n
+  FROM p{levels} p JOIN s0 ON p.g = s0.member)""")
+    out += [climb("s", "q", k) for k in range(crown)]
+    return "WITH " + ",".join(out) + f"""
+SELECT doc_id, leaf, subroot, s.h AS root, sha256(path) AS proof_sha256, f AS folded_root,
+  f = s.h AS verified
+FROM q{crown} JOIN s{crown} s ON q{crown}.g = s.g"""
+
+
+@_query("op13_merkle_manifest", _merkle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.manifest(table(spark, sf_dir, "documents"))
+    folded = merkle.fold(F.coalesce("forged", "leaf"), F.col("path"))
+    return (rows.select("doc_id", "leaf", "subroot", "root",
+                        merkle.proof(F.col("path")).alias("proof_sha256"),
+                        folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
