@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, jaccard, maxent, merkle, packing, quality, rules, substrings,
-               tokencount, urlfilter, warc)
+from . import (decontaminate, jaccard, maxent, merkle, packing, pii, quality, rules,
+               substrings, tokencount, urlfilter, warc)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -300,3 +300,11 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
                         merkle.proof(F.col("path")).alias("proof_sha256"),
                         folded.alias("folded_root"))
             .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+@_query("op12_pii")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
