@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, jaccard, maxent, merkle, packing, pii, quality, rules,
-               substrings, tokencount, urlfilter, warc)
+from . import (decontaminate, dialogue, jaccard, maxent, merkle, packing, pii,
+               quality, rules, substrings, tokencount, urlfilter, warc)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -308,3 +308,94 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.train(docs))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                         F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def _dialogue_sql() -> str:
+    """The edit lattice column by column: per state the cheapest (cost, audit,
+    text) so far, first by the edits that use a row, then by inserts."""
+    far = "{'c': 1000000, 'a': '', 't': ''}"
+
+    def step(state: str, cost: str, op: str, text: str = "''") -> str:
+        return (f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{op}', "
+                f"'t': {state}.t || {text}}}")
+
+    def least(*xs: str) -> str:
+        return f"list_sort([{', '.join(xs)}])[1]"
+
+    def message(role: str, text: str = "''") -> str:
+        return f"chr(10) || {role} || ':' || {text}"
+
+    user, assistant = message("'user'"), message("'assistant'")
+
+    def closed(v: str) -> str:
+        """Inserts after the row's own edits, ``v`` = list of the four states."""
+        to_u = least(f"{v}[3]", *[step(f"{v}[{i}]", "2", "I", user) for i in (1, 2, 4)])
+        return (f"list_transform([{to_u}], lambda u: [{v}[1], {v}[2], u, "
+                f"{least(f'{v}[4]', step('u', '2', 'I', assistant))}])[1]")
+
+    def used(s: str) -> str:
+        keep = message("x.role", "x.text")
+        delete = [step(f"{s}[{i}]", "3", "D") for i in (1, 2, 3, 4)]
+
+        def kept(i: int, initial: str) -> str:
+            return (f"CASE WHEN x.ini = '{initial}' AND x.f < 2 THEN "
+                    f"{step(f'{s}[{i}]', 'x.f', 'K', keep)} ELSE {far} END")
+
+        def named(i: int, role: str) -> str:
+            return (f"CASE WHEN x.f < 2 THEN "
+                    f"{step(f'{s}[{i}]', '2 + x.f', 'R', message(repr(role), 'x.text'))} "
+                    f"ELSE {far} END")
+        return "[" + ", ".join([
+            delete[0], least(delete[1], kept(1, "s")),
+            least(delete[2], *[kept(i, "u") for i in (1, 2, 4)],
+                  *[named(i, "user") for i in (1, 2, 4)]),
+            least(delete[3], kept(3, "a"), named(3, "assistant"))]) + "]"
+
+    start = closed(f"[{{'c': 0, 'a': '', 't': ''}}, {far}, {far}, {far}]")
+    body = f"list_transform([{used('s.st')}], lambda v: {closed('v')})[1]"
+    crc = _CRC32.format(x="coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || "
+                          "coalesce(CAST(turn AS VARCHAR), ' ')")
+    return rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc} % 20 AS k FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+      ELSE text END AS text,
+    unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM c WHERE k <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text), copy) AS i FROM d),
+q AS (
+  SELECT *, substr(role, 1, 1) AS ini,
+    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 2
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 1 ELSE 0 END AS f,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev
+  FROM o),
+r AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (f = 2) AS blank, count(*) FILTER (f = 3) AS duplicate,
+    count(*) FILTER (f = 1) AS truncated,
+    count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'st': [{far}], 'ini': ini, 'f': f, 'role': role, 'text': text}} ORDER BY i) AS rows
+  FROM q GROUP BY conv_id),
+z AS (
+  SELECT * EXCLUDE (rows), list_reduce(rows, lambda s, x: {{'st': {body}, 'ini': '', 'f': 0,
+      'role': '', 'text': ''}}, {{'st': {start}, 'ini': '', 'f': 0, 'role': '', 'text': ''}}).st
+    AS st FROM r),
+b AS (SELECT *, list_sort([st[1], st[4]])[1] AS w FROM z)
+SELECT x.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps,
+  CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost,
+  coalesce(w.a, '') AS audit, sha256(coalesce(substr(w.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) x
+LEFT JOIN b ON x.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
+@_query("op11_conversation_repair", _dialogue_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return dialogue.repair(dialogue.damage(rows), rows.select("conv_id"))
