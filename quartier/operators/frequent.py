@@ -117,12 +117,19 @@ def frequent_points(readings: DataFrame, size: str = "1 hour", slide: str = "10
     Members are found by an equi-join of the winners, fanned out to their
     panes, with the readings on (pane, rounded value): no group is collected.
     """
-    s, w = parse_duration(size), parse_duration(slide)
     winners = top_k(window_counts(pane_counts(readings, slide, digits), size, slide), 1)
+    return winner_points(winners, temperatures(readings, digits), size, slide)
+
+
+def winner_points(winners: DataFrame, temps: DataFrame, size: str = "1 hour",
+                  slide: str = "10 minutes") -> DataFrame:
+    """The points of windows' winners (ws, temperature, n) from the readings
+    (es, data, temperature) that may be their members."""
+    s, w = parse_duration(size), parse_duration(slide)
     panes = winners.select("ws", "n", "temperature",
                            F.explode(F.transform(F.sequence(F.lit(0), F.lit(s // w - 1)),
                                                  lambda j: F.col("ws") + j * w)).alias("pane"))
-    t = temperatures(readings, digits).withColumn("pane", _epoch_floor(F.col("es"), w))
+    t = temps.withColumn("pane", _epoch_floor(F.col("es"), w))
     m = t.join(panes, ["pane", "temperature"])
     pts = F.explode(F.array(
         F.struct(F.lit(FREQ_VALUE_METRIC).alias("metric"), F.col("data").alias("value")),

@@ -87,7 +87,6 @@ def tsquery(store: DataFrame, metric: str, filters: Mapping[str, str] | None = N
             df = df.filter(F.col("day") <= F.to_date(F.timestamp_seconds(F.lit(end))))
     for tag, spec in (filters or {}).items():
         df = df.filter(tag_predicate(tag, spec))
-    gcols = [_TAG_COLUMN.get(g, g) for g in group_by]
     if downsample:
         w = parse_duration(downsample)
         bucket = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(w))
@@ -95,6 +94,13 @@ def tsquery(store: DataFrame, metric: str, filters: Mapping[str, str] | None = N
         bucket = F.col("timestamp")
     per_series = (df.groupBy(bucket.alias("b"), *SERIES_TAGS)
                     .agg(_agg(ds_agg, F.col("value"), F.col("timestamp")).alias("v")))
+    return across_series(per_series, metric, group_by, aggregator)
+
+
+def across_series(per_series: DataFrame, metric: str, group_by: Sequence[str],
+                  aggregator: str) -> DataFrame:
+    """Merge series (b: epoch s, their tags, v: value) by bucket and tags."""
+    gcols = [_TAG_COLUMN.get(g, g) for g in group_by]
     # across series, first and last go by the series' tags
     tags = F.concat_ws("|", *[F.coalesce(F.col(t).cast("string"), F.lit("")) for t in SERIES_TAGS])
     out = per_series.groupBy("b", *gcols).agg(

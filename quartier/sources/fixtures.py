@@ -38,11 +38,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{str(sf_dir).rstrip('/')}/events.parquet")
 
 
-def readings_from_events(ev: DataFrame) -> DataFrame:
-    """events -> readings (time, mun, room_id, data_id, data, voltage, event_id).
-
-    Works on batch and streaming frames alike.
-    """
+def _reading() -> dict[str, Column]:
+    """The columns of an event's reading."""
     room = F.col("user_id") % 54
     et, v = F.col("event_type"), F.col("value")
     data_id = (F.when(et == "view", 0).when(et == "click", 1)
@@ -51,14 +48,19 @@ def readings_from_events(ev: DataFrame) -> DataFrame:
              .when(et == "click", v % 100.0)
              .when(et == "purchase", F.lit(30.0) + v % 20.0)
              .otherwise(F.when(v >= 35, F.lit(1.0)).otherwise(F.lit(0.0))))
-    return (ev.filter(et != "error")
-              .select(F.date_trunc("second", F.col("ts")).alias("time"),
-                      (room % 19).cast("int").alias("mun"),
-                      room.cast("int").alias("room_id"),
-                      data_id.cast("int").alias("data_id"),
-                      data.cast("double").alias("data"),
-                      ((F.col("event_id") % 50).cast("double") / 10.0).alias("voltage"),
-                      F.col("event_id")))
+    return {"time": F.date_trunc("second", F.col("ts")), "mun": (room % 19).cast("int"),
+            "room_id": room.cast("int"), "data_id": data_id.cast("int"),
+            "data": data.cast("double"),
+            "voltage": (F.col("event_id") % 50).cast("double") / 10.0}
+
+
+def readings_from_events(ev: DataFrame) -> DataFrame:
+    """events -> readings (time, mun, room_id, data_id, data, voltage, event_id).
+
+    Works on batch and streaming frames alike.
+    """
+    return (ev.filter(F.col("event_type") != "error")
+              .select(*[c.alias(n) for n, c in _reading().items()], F.col("event_id")))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,35 +74,34 @@ DEFECT_REASONS = ["fields", "id", "value", "time", "time", "empty"]
 
 
 def lines_from_events(ev: DataFrame) -> DataFrame:
-    """Render every event as a wire line (event_id, dt, value).
+    """Render every event as a wire line (event_id, dt, value), in one pass.
 
     Regular events become well-formed lines of their reading; ``error`` events
     become malformed lines with exactly one defect each.
     """
-    room = (F.col("user_id") % 54).cast("int")
-    mun = (room % 19).cast("int")
-    r = readings_from_events(ev)
-    good = r.select("event_id", F.to_date("time").alias("dt"), format_line(
-        F.col("time"), F.col("mun"), F.col("room_id"), F.col("data_id"),
-        F.col("data"), F.col("voltage")).alias("value"))
-    t = F.date_trunc("second", F.col("ts"))
+    r = ev.select("event_id", "event_type", "ts", F.col("value").alias("_value"),
+                  *[c.alias(n) for n, c in _reading().items()])
+    t = F.col("time")
     date_s = F.date_format(t, "yyyy-MM-dd")
     time_s = F.date_format(t, "HH:mm:ss")
-    id3 = F.concat_ws("-", mun.cast("string"), room.cast("string"), F.lit("3"))
-    val = F.col("value").cast("string")
-    volt = ((F.col("event_id") % 50).cast("double") / 10.0).cast("string")
+    room, mun = F.col("room_id").cast("string"), F.col("mun").cast("string")
+    id3 = F.concat_ws("-", mun, room, F.lit("3"))
+    val, volt = F.col("_value").cast("string"), F.col("voltage").cast("string")
     k = F.col("event_id") % 6
     bad: Column = (
         F.when(k == 0, F.concat_ws(" ", date_s, time_s, id3, val))
-         .when(k == 1, F.concat_ws(" ", date_s, time_s,
-                                   F.concat_ws("-", room.cast("string"), F.lit("3")), val, volt))
+         .when(k == 1, F.concat_ws(" ", date_s, time_s, F.concat_ws("-", room, F.lit("3")),
+                                   val, volt))
          .when(k == 2, F.concat_ws(" ", date_s, time_s, id3, F.lit("n/a"), volt))
          .when(k == 3, F.concat_ws(" ", date_s, F.concat(time_s, F.lit(".1234")), id3, val, volt))
          .when(k == 4, F.concat_ws(" ", F.date_format(t, "yyyy/MM/dd"), time_s, id3, val, volt))
          .otherwise(F.lit("")))
-    errors = ev.filter(F.col("event_type") == "error").select(
-        "event_id", F.to_date(t).alias("dt"), bad.alias("value"))
-    return good.unionByName(errors)
+    good = format_line(t, F.col("mun"), F.col("room_id"), F.col("data_id"), F.col("data"),
+                       F.col("voltage"))
+    # a null event type is no reading and no malformed one
+    return r.filter(F.col("event_type").isNotNull()).select(
+        "event_id", F.to_date(t).alias("dt"),
+        F.when(F.col("event_type") == "error", bad).otherwise(good).alias("value"))
 
 
 def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Run the streaming layers on a cluster.
 
     spark-submit -m quartier.streaming.run --source kafka --bootstrap host:9092 \
-        --topic queueing.sensors --out s3://bucket/sensors [--available-now]
+        --topic readings --out s3://bucket/sensors [--available-now]
 
 Starts, on one source: the landing job (wire lines -> dated text files), the
 batch layer (raw points + per-minute roll-ups) and the speed layer (pane

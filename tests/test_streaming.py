@@ -133,7 +133,7 @@ def test_kafka_shaped_records_through_the_pipeline(spark):
     from quartier.functions.parse import parse_lines
     base = scratch_path(spark, "kafka-shaped")
     lines = fixtures.lines_from_events(fixtures.events(spark, SF))
-    recs = lines.select(F.lit("queueing.sensors").alias("topic"),
+    recs = lines.select(F.lit("readings").alias("topic"),
                         (F.col("event_id") % 3).cast("int").alias("partition"),
                         F.col("event_id").alias("offset"),
                         F.col("event_id").cast("string").cast("binary").alias("key"),
