@@ -44,6 +44,26 @@ def to_document(points: DataFrame) -> DataFrame:
     return points.select(F.to_json(doc).alias("value"))
 
 
+def to_batches(points: DataFrame, most: int = 50) -> DataFrame:
+    """The store's request form: JSON arrays of at most ``most`` documents.
+
+    Points are numbered within their task and grouped by (task, number div
+    ``most``), so no row ever holds more than one request, however many points a
+    task has; a task without points makes none. Output: value, n."""
+    docs = to_document(points).withColumn("_at", F.monotonically_increasing_id())
+    task, number = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (docs.groupBy(task.alias("_task"), F.floor(number / most).alias("_request"))
+            .agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","),
+                          F.lit("]")).alias("value"), F.count(F.lit(1)).alias("n"))
+            .select("value", "n"))
+
+
+def read_batches(batches: DataFrame) -> DataFrame:
+    """Points of JSON arrays of documents (column ``value``)."""
+    one = F.explode(F.from_json("value", "array<string>"))
+    return read_document(batches.select(one.alias("value")))
+
+
 _DOCUMENT = ("metric string, timestamp bigint, value double, groupByAggregator string, "
              "tags struct<city:string,municipality:int,space:int>")
 

@@ -253,6 +253,23 @@ def q_retention_10d(spark, sf):
     return _readings_out(points.retain(fixtures.readings(spark, sf), days=10))
 
 
+_POINTS_SQL = f"""
+with rp as ({S.rollup("date_trunc('minute', time)")}),
+rw as ({S.R} select {S.METRIC_CASE} as metric, cast(epoch(time) as bigint) as timestamp,
+       data as value, 'Brussels' as city, mun as municipality, room_id as space,
+       'RAW' as aggregate from r where data_id between 0 and 3),
+u as (select metric, timestamp, value, city, municipality, space, aggregate from rw union all
+      select metric, timestamp, value, city, municipality, space, aggregate from rp)"""
+
+
+@register("points_json_batches", _POINTS_SQL + " select * from u")
+def q_points_json_batches(spark, sf):
+    """Requests of at most 50 documents each, their members parsed back."""
+    r = fixtures.readings(spark, sf)
+    pts = points.serving_union(points.raw_points(r), rollup.datapoints(rollup.rollup(r)))
+    return points.read_batches(points.to_batches(pts, 50)).drop("tag_keys")
+
+
 @register("points_json", f"""
 with rp as ({S.rollup("date_trunc('minute', time)")}),
 rw as ({S.R} select {S.METRIC_CASE} as metric, cast(epoch(time) as bigint) as timestamp,

@@ -12,6 +12,8 @@ from ..operators import calendar as cal
 from ..operators import carpet as cp
 from ..operators import frequent as fq
 from ..operators import points, rollup, tsquery
+from ..operators.ordering import with_row_index
+from ..session import scratch_path
 from ..sources import fixtures
 from . import sql as S
 from .catalog import register
@@ -69,6 +71,39 @@ def q_carpet_minute(spark, sf):
     return cp.carpet(_series(spark, sf, 0), "MINUTE", "MAX")
 
 
+#: Every seventh event's value is NaN, every eleventh's null.
+_BROKEN = ("case when seq % 7 = 0 then cast('nan' as double) when seq % 11 = 0 then null "
+           "else value end")
+
+
+def _broken_sql(agg: str) -> str:
+    fn = agg.lower()
+    text = _carpet_cte("HOUR", agg).replace(
+        f"{fn}(value)", f"coalesce({fn}(value) filter (not isnan(value)), max(value))")
+    series = "s as (select time as ts, data as value, event_id as seq, room_id as series"
+    return text.replace(series, "s as (select ts, " + _BROKEN + " as value, seq, series from ("
+                        + series[len("s as ("):], 1).replace("where data_id = 0)",
+                                                             "where data_id = 0))", 1)
+
+
+def _broken(spark, sf):
+    return _series(spark, sf, 0).withColumn("value", F.expr(_BROKEN))
+
+
+for _a in ("MAX", "MIN"):
+    register(f"carpet_{_a.lower()}_nan", _broken_sql(_a) + " select * from cells")(
+        lambda spark, sf, _a=_a: cp.carpet(_broken(spark, sf), "HOUR", _a))
+
+
+@register("carpet_ordered", _carpet_cte("QUARTER", "AVG") + """
+select row_number() over (order by slot_start) - 1 as row_index, day, slot, slot_start, value
+from cells""")
+def q_carpet_ordered(spark, sf):
+    """The time-ordered grid with each cell's place in the output."""
+    return with_row_index(cp.carpet(_series(spark, sf, 0), "QUARTER", "AVG"), ["slot_start"],
+                          scratch_path(spark, "carpet-ordered"))
+
+
 @register("carpet_stats", _carpet_cte("QUARTER", "AVG") + """
 select min(value) as min_value, max(value) as max_value, count(value) as filled,
        count(*) as cells from cells""")

@@ -9,7 +9,7 @@ load_all()
 SF = "/root/testdata/sf0.01"
 # queries that write/stream at construction time are covered by test_oracle
 BATCH = sorted(n for n in QUERIES
-               if not n.startswith("stream_") and n not in ("points_sink_roundtrip",
+               if not n.startswith(("stream_", "store_")) and n not in ("points_sink_roundtrip",
                                                             "series_csv_calendar"))
 ALLOWED = {"sort-based aggregate"}   # struct-valued arg-row buffers, see PLANS.md
 
@@ -33,3 +33,8 @@ def test_parquet_verify_mode(spark):
     con = verify.duck(SF)
     res = verify.compare_via_parquet(spark, "calendar_dupes", SF, con)
     assert res["status"] == "match", res
+
+
+@pytest.mark.parametrize("name", ["rollup_sum", "rollup_count", "rollup_avg"])
+def test_sums_and_counts_hash(spark, name):
+    assert "sort-based aggregate" not in audit.audit(QUERIES[name](spark, SF))["flags"]
