@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import q_batch, q_dash, q_io, q_store, q_stream  # noqa: F401
+    from . import q_batch, q_dash, q_io, q_more, q_store, q_stream  # noqa: F401
