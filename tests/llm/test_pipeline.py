@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
@@ -39,6 +39,8 @@ def test_stages_against_brute_force(spark):
     stage = dict(corpus_pipeline.STAGES)
     assert list(stage) == ["quality_classifier", "ngram_jaccard_join", "suffix_array_dedup",
                            "benchmark_decontamination", "lexical_packing"]
+    # what near-duplicate stages on word shingles are to take
+    assert (corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT) == (5, 80)
 
     def rows(df):
         return {r["doc_id"]: r for r in df.collect()}
@@ -53,8 +55,8 @@ def test_stages_against_brute_force(spark):
     assert all(after[i] == before[i] for i in after)
 
     def grams(t):
-        w = _words(t)
-        return {tuple(w[i:i + 3]) for i in range(max(len(w) - 2, 1))} if w else set()
+        w, n = _words(t), corpus_pipeline.SHINGLE
+        return {tuple(w[i:i + n]) for i in range(max(len(w) - n + 1, 1))} if w else set()
 
     sets = {i: grams(r["text"]) for i, r in after.items()}
     ids = sorted(sets)
@@ -68,7 +70,7 @@ def test_stages_against_brute_force(spark):
     for a in ids:
         for b in ids:
             if b < a and sets[a] and sets[b] and \
-                    100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                    100 * len(sets[a] & sets[b]) >= corpus_pipeline.PERCENT * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     kept = stage["ngram_jaccard_join"](spark, kept, SF).cache()
