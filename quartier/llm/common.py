@@ -83,3 +83,34 @@ def blocks(df: DataFrame, weight: str, limit: int) -> Iterator[list]:
         total += w
     if block:
         yield block
+
+
+def lean(work):
+    """A group's function that gives its memory back when it is done."""
+    def run(pdf):
+        out = work(pdf)
+        release()
+        return out
+    return run
+
+
+def lean_pair(work):
+    """The same for a function of two groups."""
+    def run(left, right):
+        out = work(left, right)
+        release()
+        return out
+    return run
+
+
+def release() -> None:
+    """Give freed memory of a worker back to the system: Python workers outlive
+    their tasks, and what they keep is counted against their executor."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):    # another C library
+        pass

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, texts, with_ids
+from .common import fold, release, texts, with_ids
 
 DIM = 48
 BUCKETS = 1 << 14
@@ -110,6 +110,8 @@ def train_vectors(docs: DataFrame) -> np.ndarray:
         rows = table.reshape(BUCKETS, DIM).astype(np.float32)
         for at in range(0, BUCKETS, _ROWS):
             yield pd.DataFrame({"block": [at], "sums": [rows[at:at + _ROWS].tobytes()]})
+        del words, table, rows, parts
+        release()
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         s = np.zeros(_ROWS * DIM)
@@ -266,6 +268,8 @@ def score(docs: DataFrame, table: np.ndarray, net: Network) -> DataFrame:
             x = np.array([pool(words, vectors, t) for t in b["text"]],
                          np.float64).reshape(-1, DIM + STATS)
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": network.probability(x)})
+        del words
+        release()
 
     return texts(docs).mapInPandas(run, "doc_id long, score double")
 
