@@ -23,11 +23,12 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import texts, written
+from .common import release, texts, written
 
 WINDOW = 2048
 #: Documents per shard, about.
@@ -41,8 +42,8 @@ LOOK = 16
 K1, B = 1.2, 0.75
 #: Terms whose document frequencies travel in one row.
 _TERMS = 4096
-#: Length of the vectors that documents are dealt by.
-DIM = 64
+#: Length of the vectors that documents are dealt by, and places of a direction.
+DIM, SPARSE = 64, 8
 #: Centroids of the first level, at most; the second level grows with the corpus.
 CELLS = 512
 #: Vectors that the centroids are found on, per centroid.
@@ -53,8 +54,8 @@ MEMORY = 200_000
 # White space as the tokenizer's pattern sees it.
 _SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _WORD = re.compile(f"[^{_SPACE}]+")
-#: Characters that str.split() takes for white space and the tokenizer does not.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Characters that Unicode takes for white space and the tokenizer does not.
+_ODD = "[\x1c-\x1f]"
 # ASCII punctuation, which the pre-tokenizer cuts off a word as one piece.
 _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Stands for the end of a word in merges; plain words do not hold it.
@@ -127,54 +128,85 @@ class Encoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
-        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {"": b""}
         vocab = self.tok.get_vocab(with_added_tokens=False)
         marked = all(c + "</w>" in vocab and vocab[c + "</w>"] < 512 and vocab[c] < 512
                      for c in _byte_of_char())
         self.merges = Merges(self.tok, self.dtype) if marked else None
-        self.end = np.array([end], self.dtype).tobytes()
+        self.end = np.array([end], self.dtype)
 
     def _ids(self, items: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tok.encode_batch_fast(items, add_special_tokens=False)]
 
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
-        whole = {i for i, t in enumerate(batch) if self.added and self.added.search(t)}
-        found = [[] if i in whole else _WORD.findall(t) if _ODD.search(t) else t.split()
-                 for i, t in enumerate(batch)]
-        words = set().union(*found)
-        letters = ([w for w in words if w.isalpha() and (w.isascii() or _plain(w))]
-                   if self.merges else [])
-        lower = [w.lower() for w in letters]
-        # words of letters and a tail of punctuation, in three parallel lists
-        tailed: list[str] = []
-        body: list[str] = []
-        tail: list[str] = []
-        odd: list[str] = []
-        for w in words.difference(letters):
-            core = w.rstrip(_TAIL)
-            if self.merges and core and _plain(core):
-                tailed.append(w)
-                body.append(core.lower())
-                tail.append(w[len(core):])
-            else:
-                odd.append(w)
-        cores = list(set(lower).union(body))
-        code = dict(zip(cores, self.merges.ids(cores))) if cores else {}
+    def _known(self, items: list[str]) -> list[bytes]:
+        """Ids by the library, remembered."""
         if len(self.known) > MEMORY:
             self.known = {"": b""}
-        known = self.known
-        ask = list(set(tail).union(odd).difference(known))
-        known.update(zip(ask, self._ids(ask)))
-        local = dict(zip(letters, map(code.__getitem__, lower)))
-        local.update(zip(tailed, (code[a] + known[b] for a, b in zip(body, tail))))
-        local.update((w, known[w]) for w in odd)
-        out = [b"".join(map(local.__getitem__, ws)) for ws in found]
-        for i, ids in zip(sorted(whole), self._ids([batch[i] for i in sorted(whole)])):
-            out[i] = ids
-        return [np.frombuffer(x + self.end, self.dtype) for x in out]
+        ask = list(set(items).difference(self.known))
+        self.known.update(zip(ask, self._ids(ask)))
+        return list(map(self.known.__getitem__, items))
+
+    def _pieces(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of pieces, and the two pieces of each word: its letters, merged in
+        bulk, and a tail of punctuation; or nothing and the whole word, if it is
+        for the library. Piece 0 is empty."""
+        body = pc.utf8_rtrim(words, _TAIL).dictionary_encode()
+        core = [c.lower() if c.isalpha() and (c.isascii() or _plain(c)) else ""
+                for c in _strings(body.dictionary)]
+        if not self.merges:
+            core = [""] * len(core)
+        cores = sorted(set(core) - {""})
+        number = dict(zip(cores, range(1, len(cores) + 1)))
+        number[""] = 0
+        first = np.fromiter(map(number.__getitem__, core), np.int32, len(core))[
+            body.indices.to_numpy()]
+        length = np.fromiter(map(len, core), np.int32, len(core))[body.indices.to_numpy()]
+        tailed = np.flatnonzero((first == 0) | (length < pc.utf8_length(words).to_numpy()))
+        tails = [w[n:] for w, n in zip(_strings(words.take(pa.array(tailed))),
+                                       length[tailed].tolist())]
+        rest = list(set(tails) - {""})
+        number = dict(zip(rest, range(len(cores) + 1, len(cores) + 1 + len(rest))))
+        number[""] = 0
+        second = np.zeros(len(words), np.int32)
+        second[tailed] = [number[t] for t in tails]
+        merged = self.merges.ids(cores) if cores else []
+        return [b"", *merged, *self._known(rest)], np.stack([first, second], axis=1)
+
+    def arrays(self, batch: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, and the end id. Words are cut and told apart by
+        Arrow: Python sees the distinct ones only."""
+        apart = pc.match_substring_regex(batch, _ODD)
+        for t in self.added:
+            apart = pc.or_(apart, pc.match_substring(batch, t))
+        words = pc.utf8_split_whitespace(pc.if_else(apart, "", batch))
+        coded = words.flatten().dictionary_encode()
+        found, pair = self._pieces(coded.dictionary)
+        size = np.fromiter(map(len, found), np.int32, len(found)) // self.dtype.itemsize
+        pool = np.frombuffer(b"".join(found), self.dtype)
+        piece = pair[coded.indices.to_numpy()].ravel()
+        length = size[piece]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length, dtype=np.int64)])
+        at = np.repeat((np.cumsum(size, dtype=np.int64) - size)[piece] - ends[:-1], length)
+        at += np.arange(ends[-1])
+        ids = pool[at]
+        cut = words.offsets.to_numpy()
+        cut = ends[2 * (cut - cut[0])]
+        out = [np.append(ids[a:b], self.end) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        for i in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():
+            text = batch[i].as_py()
+            parts = [text] if any(t in text for t in self.added) else _WORD.findall(text)
+            ids = b"".join(self._ids(parts))
+            out[i] = np.append(np.frombuffer(ids, self.dtype), self.end)
+        return out
+
+    def encode(self, batch: list[str]) -> list[np.ndarray]:
+        return self.arrays(pa.array(batch, pa.string()))
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def crc(ids: np.ndarray) -> int:
@@ -183,33 +215,44 @@ def crc(ids: np.ndarray) -> int:
 
 def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFrame:
     """Per document: number of ids, crc of each whole window, the tail's ids,
-    and the distinct ids with their frequencies (at most 255). Rows of negative
-    doc_tokens hold a task's document frequencies, by block of ids."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    the distinct ids with their frequencies (at most 255), and a row number.
+    Rows of negative doc_tokens hold a task's document frequencies, by block of
+    ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path, end)
         df = np.zeros(-(-max(enc.tok.get_vocab_size(), end + 1) // _TERMS) * _TERMS, np.int64)
         for b in batches:
-            for at in range(0, len(b), BATCH):
-                part = b.iloc[at:at + BATCH]
-                rows = []
-                for doc, ids in zip(part["doc_id"], enc.encode(part["text"].tolist())):
+            for at in range(0, b.num_rows, BATCH):
+                part = b.slice(at, BATCH)
+                total, cols = [], ([], [], [], [])
+                for ids in enc.arrays(part.column("text")):
                     n = len(ids)
                     cut = n - n % window
-                    full = np.array([crc(ids[i:i + window]) for i in range(0, cut, window)],
-                                    "<u4")
                     terms, tf = np.unique(ids, return_counts=True)
                     df[terms] += 1
-                    rows.append((doc, n, full.tobytes(), ids[cut:].tobytes(), terms.tobytes(),
-                                 np.minimum(tf, 255).astype(np.uint8).tobytes()))
-                yield pd.DataFrame(rows, columns=["doc_id", "doc_tokens", "full", "tail",
-                                                  "terms", "tf"]).astype({"doc_id": "Int64"})
+                    total.append(n)
+                    for col, x in zip(cols, (
+                            np.array([crc(ids[i:i + window]) for i in range(0, cut, window)], "<u4"),
+                            ids[cut:], terms, np.minimum(tf, 255).astype(np.uint8))):
+                        col.append(x.tobytes())
+                yield _batch(part.column("doc_id"), total, cols)
         if df.any():
-            yield pd.DataFrame([(None, -1 - i, b"", b"", x.tobytes(), b"")
-                                for i, x in enumerate(df.reshape(-1, _TERMS))],
-                               columns=["doc_id", "doc_tokens", "full", "tail", "terms",
-                                        "tf"]).astype({"doc_id": "Int64"})
+            blocks = [x.tobytes() for x in df.reshape(-1, _TERMS)]
+            none = [b""] * len(blocks)
+            yield _batch(pa.nulls(len(blocks), pa.int64()), [-1 - i for i in range(len(blocks))],
+                         (none, none, blocks, none))
+
+        del enc, df
+        release()
+
+    return (texts(docs).mapInArrow(run, _DOC)
+            .withColumn("row", F.monotonically_increasing_id()))
 
-    return texts(docs).mapInPandas(run, _DOC)
+
+def _batch(doc_id: pa.Array, total: list[int], cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [doc_id, pa.array(total, pa.int64()), *[pa.array(c, pa.binary()) for c in cols]],
+        names=["doc_id", "doc_tokens", "full", "tail", "terms", "tf"])
 
 
 @dataclass
@@ -241,9 +284,12 @@ def corpus(encoded: DataFrame) -> Corpus:
 
 
 @cache
-def _projection(size: int) -> np.ndarray:
-    """One random direction per id (a fixed seed)."""
-    return np.random.default_rng(20240611).standard_normal((size, DIM), np.float32)
+def _projection(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """One sparse random direction per id: SPARSE places and their signs (a
+    fixed seed)."""
+    r = np.random.default_rng(20240611)
+    place = np.argpartition(r.random((size, DIM), np.float32), SPARSE, axis=1)[:, :SPARSE]
+    return place.astype(np.int32), r.choice(np.array([-1, 1], np.float32), (size, SPARSE))
 
 
 def vectors(whole: Corpus, terms: list[np.ndarray], tf: list[np.ndarray],
@@ -251,14 +297,16 @@ def vectors(whole: Corpus, terms: list[np.ndarray], tf: list[np.ndarray],
     """Projected BM25 weights of documents, of length one."""
     out = np.zeros((len(terms), DIM), np.float32)
     size = np.cumsum([len(t) for t in terms])
+    place, sign = _projection(len(whole.df))
     at = 0
-    while at < len(terms):  # about 100 000 terms at once
-        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 100_000)))
+    while at < len(terms):  # about 50 000 terms at once
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 50_000)))
         n = np.array([len(t) for t in terms[at:end]])
         term = np.concatenate(terms[at:end])
         weight = whole.weight(term, np.concatenate(tf[at:end]), np.repeat(length[at:end], n))
-        rows = _projection(len(whole.df))[term] * weight.astype(np.float32)[:, None]
-        out[at:end] = np.add.reduceat(rows, np.cumsum(n) - n)
+        cell = place[term] + np.repeat(np.arange(end - at, dtype=np.int32) * DIM, n)[:, None]
+        out[at:end] = np.bincount(cell.ravel(), (sign[term] * weight[:, None]).ravel(),
+                                  (end - at) * DIM).reshape(-1, DIM)
         at = end
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
@@ -330,26 +378,30 @@ def deal(encoded: DataFrame, whole: Corpus, dtype: np.dtype) -> DataFrame:
     """``encoded`` documents with their shard."""
     rows = encoded.filter("doc_tokens > 0")
     if not whole.n:
-        return rows.withColumn("shard", F.lit(0).cast("long"))
+        return rows.drop("row").withColumn("shard", F.lit(0).cast("long"))
     spark = encoded.sparkSession
     known = spark.sparkContext.broadcast(whole)
 
+    def vectors_of(b: pa.RecordBatch) -> np.ndarray:
+        return vectors(known.value,
+                       [np.frombuffer(x, dtype) for x in b.column("terms").to_pylist()],
+                       [np.frombuffer(x, np.uint8) for x in b.column("tf").to_pylist()],
+                       b.column("doc_tokens").to_numpy()).astype(np.float16)
+
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = vectors(known.value,
-                        [np.frombuffer(x, dtype) for x in b.column("terms").to_pylist()],
-                        [np.frombuffer(x, np.uint8) for x in b.column("tf").to_pylist()],
-                        b.column("doc_tokens").to_numpy()) if len(b) else []
-            yield b.append_column("v", pa.array([x.astype(np.float16).tobytes() for x in v],
-                                                pa.binary()))
-
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id())
-                   .mapInArrow(project, f"{_DOC}, row long, v binary"),
-                   scratch_path(spark, "vectors"))
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("row"), pa.array([x.tobytes() for x in vectors_of(b)], pa.binary())],
+                    names=["row", "v"])
+
+    # the vectors alone: the documents themselves are read again when they are dealt
+    short = written(rows.select("row", "doc_tokens", "terms", "tf")
+                    .mapInArrow(project, "row long, v binary"), scratch_path(spark, "vectors"))
     n_shards = -(-whole.n // SHARD_DOCS)
     k = min(CELLS, n_shards)
     every = max(1, whole.n // (k * SAMPLE))
-    chosen = rows.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("row", "v")
+    chosen = short.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0)
     found = [bytes(r["v"]) for r in sorted(chosen.collect())] if n_shards > 1 else []
     shards = Shards(centroids_of(_read(found), k) if found else np.zeros((1, DIM), np.float32), {})
     held = spark.sparkContext.broadcast(shards)
@@ -359,7 +411,7 @@ def deal(encoded: DataFrame, whole: Corpus, dtype: np.dtype) -> DataFrame:
             for b in batches:
                 yield pd.DataFrame({"place": use.value.place(_read(b["v"])), "row": b["row"],
                                     "v": b["v"]})
-        return rows.select("row", "v").mapInPandas(run, "place long, row long, v binary")
+        return short.mapInPandas(run, "place long, row long, v binary")
 
     large = {r["place"]: -(-r["count"] // SHARD_DOCS)
              for r in places(held).groupBy("place").count().collect()
@@ -383,8 +435,10 @@ def deal(encoded: DataFrame, whole: Corpus, dtype: np.dtype) -> DataFrame:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            shard = final.value.of(_read(b.column("v").to_pylist()), b.column("row").to_numpy())
-            yield b.drop_columns(["row", "v"]).append_column("shard", pa.array(shard, pa.int64()))
+            if b.num_rows:
+                v = vectors_of(b).astype(np.float32)
+                shard = final.value.of(v, b.column("row").to_numpy())
+                yield b.drop_columns(["row"]).append_column("shard", pa.array(shard, pa.int64()))
 
     return rows.mapInArrow(assign, f"{_DOC}, shard long")
 
