@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .anchors import WINDOW, anchors
-from .common import NO_ID, texts, without_ids, written
+from .common import NO_ID, lean, lean_pair, release, texts, without_ids, written
 from .suffixes import PAD, common_prefix_reaches, suffix_array
 
 #: Text per group of documents, and per shard of anchors.
 GROUP_BYTES = 4 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Text whose anchors are found at once.
 _PIECE = 1 << 20
 _LONGEST = 2 * WINDOW  # a context is shorter
@@ -95,6 +95,7 @@ def _keys(n_shards: int):
                 yield _frame([(int(g), int(s[i]), 0, low[i:j].tobytes(),
                                np.packbits(many[i:j]).tobytes(), None, None)
                               for i, j in zip(cut, np.append(cut[1:], len(s)))])
+            release()
     return run
 
 
@@ -323,12 +324,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
          .select(group_of(n_groups).alias("g"), "doc_id", "text")
          .repartition(n_groups, "g"))
     shared = (x.mapInPandas(_keys(n_shards), _BLOB)
-              .groupBy("shard").applyInPandas(_shared, _BLOB))
+              .groupBy("shard").applyInPandas(lean(_shared), _BLOB))
     contexts = (x.groupBy("g").cogroup(shared.groupBy("g"))
-                .applyInPandas(_contexts(n_shards), _BLOB))
-    answers = contexts.groupBy("shard").applyInPandas(_search, _BLOB)
+                .applyInPandas(lean_pair(_contexts(n_shards)), _BLOB))
+    answers = contexts.groupBy("shard").applyInPandas(lean(_search), _BLOB)
     out = (x.groupBy("g").cogroup(shared.unionByName(answers).groupBy("g"))
-           .applyInPandas(_apply(n_shards),
+           .applyInPandas(lean_pair(_apply(n_shards)),
                           "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
     whole = rows.join(copies, "doc_id", "left_semi").select(
         "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"),
