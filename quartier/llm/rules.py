@@ -72,8 +72,10 @@ def measure(docs: DataFrame) -> DataFrame:
         F.regexp_count(text, F.lit("[" + SYMBOLS + "]")).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0Da-z]*[A-Z]{2}"
-                                   r"[^\x20\x09-\x0Da-z]*(?![^\x20\x09-\x0D])"))
+        # possessive up to the first pair of capitals: a long word is read once
+        F.regexp_count(text, F.lit(
+            r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0Da-zA-Z]|[A-Z](?![A-Z]))*+[A-Z]{2}"
+            r"[^\x20\x09-\x0Da-z]*+(?![^\x20\x09-\x0D])"))
         .cast("long").alias("n_capital_words"),
         # one 64-bit hash per window of three words
         F.when(n >= 3, F.transform(

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 from collections import Counter
 
 from quartier.llm import rules
@@ -41,3 +43,22 @@ def test_empty_table(no_docs):
 def test_no_python_in_the_plan(edge_docs):
     plan = rules.ledger(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_capital_words(spark):
+    parts = ["A", "B", "a", "1", "é", "É", " ", "\n", " ", "-"]
+    rnd = random.Random(5)
+    rows = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(30))) for _ in range(2000)]
+    got = rules.measure(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    for r in got.select("doc_id", "n_capital_words").collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", rows[r["doc_id"]])
+        assert r["n_capital_words"] == sum(bool(re.fullmatch(r"[^a-z]*[A-Z]{2}[^a-z]*", w))
+                                           for w in words), rows[r["doc_id"]]
+
+
+def test_a_megabyte_word_takes_seconds(spark):
+    rows = [(1, "A" * 1_000_000 + "a"), (2, "A1" * 500_000 + "a"), (3, "A" * 1_000_000)]
+    began = time.monotonic()
+    got = rules.measure(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_capital_words"] for r in got.collect()} == {1: 0, 2: 0, 3: 1}
+    assert time.monotonic() - began < 30
