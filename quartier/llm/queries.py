@@ -158,7 +158,8 @@ def _warc_sql() -> str:
     return rf"""
 WITH p AS (
   SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
-    sha256('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || coalesce(url, '')) AS h
+    sha256('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || coalesce(url, '') ||
+      '|' || sha256(coalesce(html, ''))) AS h
   FROM pages),
 r AS (
   SELECT page_id, url AS target_uri, {urn.format(h="h")} AS refers_to, {plain} AS plain,
@@ -369,9 +370,11 @@ o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRS
     sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text), copy) AS i FROM d),
 q AS (
   SELECT *, substr(role, 1, 1) AS ini,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 2
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 2
       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
-      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 1 ELSE 0 END AS f,
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 1 ELSE 0 END AS f,
     lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev
   FROM o),
 r AS (

@@ -24,6 +24,15 @@ _BLOCK = ("p|div|br|hr|li|ul|ol|dl|dt|dd|h1|h2|h3|h4|h5|h6|tr|td|th|table|articl
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 BLOCKS = rf"(?i)</?(?:{_BLOCK})(?:[\s/][^>]*)?>"
 TAGS = r"<[A-Za-z/!?][^>]*>"
+# Opening and closing marks of hidden elements.
+_HIDDEN_MARKS = ((r"script\b", r"</script\s*>"), (r"style\b", r"</style\s*>"), ("!--", "-->"))
+#: Beyond so many openings, those that nothing closes are set aside first.
+OPENINGS = 100
+# What must match lies in one stretch without ">", so the first opening of a stretch decides
+# it; the atomic groups keep later ones from being tried, each over the rest of the page.
+TITLE = r"(?is)^(?>.*?<title)[^>]*+>(.*?)</title"
+LANG = r'(?i)(?:^|>)(?>[^>]*?<html\b)[^>]*?\blang="([^"]*)"'
+OUTLINK = r"(?i)(?:^|>)(?>[^>]*?<a\s)[^>]*href"
 
 
 def urn(kind: str, *parts: Column) -> Column:
@@ -41,13 +50,14 @@ def digest(block: Column) -> Column:
 def responses(pages: DataFrame, warc_date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Response records of a (page_id, url, html) table, with the headers that
     a server would have sent. Null html is an empty payload, a null url an
-    empty target; other columns are ignored."""
+    empty target; other columns are ignored. The record's id comes of page_id,
+    url and payload, so only repeated rows share one."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     return pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        urn("response", page, url).alias("record_id"), url.alias("target_uri"),
+        urn("response", page, url, F.sha2(html, 256)).alias("record_id"), url.alias("target_uri"),
         F.lit(warc_date).alias("warc_date"),
         F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
                        "Content-Length: "), F.octet_length(html).cast("string"),
@@ -55,13 +65,55 @@ def responses(pages: DataFrame, warc_date: str = "2024-01-01T00:00:00Z") -> Data
         html.alias("payload"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(text: Column, tail: Column) -> Column:
+    return F.left(text, F.length(text) - F.length(tail))
+
+
+def _mark(opening: str, closing: str):
+    """Marks the openings of one kind behind its last closing."""
+    def run(text: Column) -> Column:
+        return _let(F.regexp_replace(text, f"(?is)^.*{closing}", ""), lambda tail: F.concat(
+            _before(text, tail),
+            F.regexp_replace(tail, f"(?i)<(?={opening})", "<\x01" + "1")))
+    return run
+
+
+def _set_aside(html: Column) -> Column:
+    """Openings of hidden elements that nothing closes get a mark after their
+    ``<``, so that the search does not run to the end of the page for each."""
+    t = F.replace(html, F.lit("\x01"), F.lit("\x01" + "0"))
+    for opening, closing in _HIDDEN_MARKS:
+        t = _let(t, _mark(opening, closing))
+    return t
+
+
+def _unhide(html: Column) -> Column:
+    """A page without its hidden elements, in time linear in its length."""
+    openings = F.lit("(?i)<(?:" + "|".join(o for o, _ in _HIDDEN_MARKS) + ")")
+    marked = F.regexp_replace(_set_aside(html), HIDDEN, "")
+    marked = F.replace(F.replace(marked, F.lit("\x01" + "1"), F.lit("")),
+                       F.lit("\x01" + "0"), F.lit("\x01"))
+    return (F.when(F.regexp_count(html, openings) > OPENINGS, marked)
+            .otherwise(F.regexp_replace(html, HIDDEN, "")))
+
+
+def _replace_tags(text: Column, pattern: str, by: str) -> Column:
+    """Replaces what ends in ``>``; what follows the last one is not searched."""
+    return _let(text, lambda t: _let(F.substring_index(t, ">", -1), lambda tail: F.concat(
+        F.regexp_replace(_before(t, tail), pattern, by), tail)))
+
+
 def plain_text(html: Column) -> Column:
     """Text of a page: hidden elements out, block elements as line ends, other
     tags out, character references decoded, runs of blanks and empty lines
-    closed up."""
-    t = F.regexp_replace(html, HIDDEN, "")
-    t = F.regexp_replace(t, BLOCKS, "\n")
-    t = F.regexp_replace(t, TAGS, "")
+    closed up. Takes time linear in the page, however broken it is."""
+    t = _replace_tags(_unhide(html), BLOCKS, "\n")
+    t = _replace_tags(t, TAGS, "")
     for name, char in ENTITIES:
         t = F.replace(t, F.lit(name), F.lit(char))
     t = F.regexp_replace(t, r"[ \t\x0B\f\r]+", " ")
@@ -80,8 +132,8 @@ def derivatives(resp: DataFrame) -> DataFrame:
     html = F.col("payload")
     # In the DOTALL mode Java's $ would also match before a last line end; the
     # patterns below have none.
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)
-    lang = F.regexp_extract(html, r'(?i)<html\b[^>]*?\blang="([^"]*)"', 1)
+    title = F.regexp_extract(html, TITLE, 1)
+    lang = F.regexp_extract(html, LANG, 1)
     status = F.regexp_extract("http_headers", r"^HTTP/[0-9.]+ ([0-9]{3})", 1)
     r = r.select(
         *RESPONSE[:-1], plain_text(html).alias("plain"), digest(html).alias("payload_digest"),
@@ -90,7 +142,7 @@ def derivatives(resp: DataFrame) -> DataFrame:
             F.lit("\r\ntitle: "), F.regexp_replace(title, r"[\r\n]+", " "),
             F.lit("\r\nlanguage: "), lang,
             F.lit("\r\noutlinks: "),
-            F.regexp_count(html, F.lit(r"(?i)<a\s[^>]*href")).cast("string"),
+            F.regexp_count(html, F.lit(OUTLINK)).cast("string"),
             F.lit("\r\npayload-length: "), F.octet_length(html).cast("string"),
             F.lit("\r\n")).alias("fields"))
     kinds = F.array(

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 from quartier.llm import warc
 from quartier.session import scratch_path
 
@@ -36,3 +40,58 @@ def test_records_link_back_and_round_trip(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.derivatives(warc.responses(pages)).count() == 0
+
+
+def test_ids_tell_payloads_apart(spark):
+    pages = spark.createDataFrame([(None, "u", "a"), (None, "u", "b"), (None, "u", None)],
+                                  "page_id long, url string, html string")
+    rec = warc.derivatives(warc.responses(pages)).collect()
+    assert len({r["record_id"] for r in rec}) == 6
+
+
+def _plain(html):
+    """The definition, by the patterns as they stand."""
+    t = re.sub(warc.HIDDEN, "", html)
+    t = re.sub(warc.BLOCKS, "\n", t)
+    t = re.sub(warc.TAGS, "", t)
+    for name, char in warc.ENTITIES:
+        t = t.replace(name, char)
+    t = re.sub(r"[ \t\x0B\f\r]+", " ", t)
+    return re.sub(r" ?\n[ \n]*", "\n", t).strip(" \n")
+
+
+def _fields(html):
+    title = re.search(r"(?is)<title[^>]*>(.*?)</title", html)
+    lang = re.search(r'(?i)<html\b[^>]*?\blang="([^"]*)"', html)
+    return (re.sub(r"[\r\n]+", " ", title[1]) if title else "", lang[1] if lang else "",
+            len(re.findall(r"(?i)<a\s[^>]*href", html)))
+
+
+def test_broken_pages_match_the_plain_patterns(spark, monkeypatch):
+    """Random pages of marks that do not close, with openings set aside from the first on."""
+    monkeypatch.setattr(warc, "OPENINGS", 0)
+    parts = ["<script", "<SCRIPT>", "</script>", "</script ", "<style>", "</style>", "<!--", "-->", "<p>", "<p ",
+             "<a ", "href", ">", "<html", ' lang="', '"', "<title", "<Title>", "</title>", "x", " ", "\n", "\x01", "1",
+             "0", "-", "<", "!", "&lt;", "é"]
+    rnd = random.Random(7)
+    html = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 40))) for _ in range(3000)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(html)],
+                                  "page_id long, url string, html string")
+    rec = warc.derivatives(warc.responses(pages)).select("page_id", "warc_type", "block").collect()
+    for r in rec:
+        h = html[r["page_id"]]
+        if r["warc_type"] == "conversion":
+            assert r["block"] == _plain(h), repr(h)
+        else:
+            title, lang, links = _fields(h)
+            assert f"title: {title}\r\nlanguage: {lang}\r\noutlinks: {links}\r\n" in r["block"], repr(h)
+
+
+def test_a_megabyte_of_openings_takes_seconds(spark):
+    marks = ["<!--", "<script ", "<style ", "<title>", "<title", "<a ", "<html ", "<p ", "<x"]
+    pages = spark.createDataFrame([(i, "u", m * (1_000_000 // len(m)) + end)
+                                   for i, m in enumerate(marks) for end in ("", "<p>", "-->")],
+                                  "page_id long, url string, html string")
+    began = time.monotonic()
+    assert warc.derivatives(warc.responses(pages)).agg({"content_length": "sum"}).first()[0] > 0
+    assert time.monotonic() - began < 60
