@@ -41,7 +41,7 @@ def words(text: str | None) -> list[bytes]:
 
 def windows(items: DataFrame) -> DataFrame:
     """Distinct windows of all items: window (words joined by a space), n_words,
-    items (their ids as text), weight in bytes."""
+    items (their ids as text after a "=", without an id: empty), weight in bytes."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
@@ -52,7 +52,8 @@ def windows(items: DataFrame) -> DataFrame:
                         for i in range(len(w) - n + 1) if n]
             yield pd.DataFrame(out, columns=["item", "window", "n_words"])
 
-    return (items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
+    item = F.coalesce(F.concat(F.lit("="), F.col("item_id").cast("string")), F.lit(""))
+    return (items.select(item.alias("item"),
                          F.col("text").cast("string").alias("text"))
             .mapInPandas(run, "item string, window binary, n_words int")
             .groupBy("window", "n_words").agg(F.sort_array(F.collect_set("item")).alias("items"))
@@ -189,7 +190,8 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Null or empty texts have no words; items without a word have no window; an
     empty benchmark hits nothing; a null doc_id stays null; repeated rows
-    repeat; items that share an id are one item; other columns are ignored.
+    repeat; items that share an id are one item, those without one too (null in
+    ``items``); other columns are ignored.
     """
     spark = docs.sparkSession
     d = texts(docs).select("doc_id", "text",
@@ -226,11 +228,15 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
             d = d.checkpoint()
         d = d.mapInPandas(step(spark.sparkContext.broadcast(block)), schema)
         n += 1
-    return d if n else d.mapInPandas(step(None), schema)
+    d = d if n else d.mapInPandas(step(None), schema)
+    return d.withColumn("items", F.transform(
+        "items", lambda x: F.when(x != "", F.substring(x, 2, 2**31 - 1))))
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated per row (see find)."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated per row (see find).
+
+    Items without an id count as one, of which items_sha256 has nothing."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"),
                         lambda n, x: n + (x["b"] - x["a"]).cast("long"))
     return find(docs, items).select(

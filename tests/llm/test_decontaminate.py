@@ -48,3 +48,15 @@ def test_benchmark_in_several_blocks(spark, edge_docs, edge_rows, monkeypatch):
 def test_empty_tables(spark, edge_docs, edge_rows, no_docs):
     _check(spark, edge_docs, edge_rows, [])
     _check(spark, no_docs, [], ITEMS)
+
+
+def test_item_without_an_id_is_none_named_null(spark):
+    docs = spark.createDataFrame([(1, "a two words b"), (2, "three words"), (3, "two words, three words")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "two words"), ("null", "three words"), (None, "a two"), ("", "b")],
+                                  "item_id string, text string")
+    got = {r["doc_id"]: r for r in d.contamination(docs, bench).collect()}
+    assert {i: r["n_items"] for i, r in got.items()} == {1: 2, 2: 1, 3: 2}
+    for i, ids in ((1, ""), (2, "null"), (3, "null")):
+        assert got[i]["items_sha256"] == hashlib.sha256(ids.encode()).hexdigest()
+    assert sorted(map(str, d.find(docs, bench).filter("doc_id = 3").first()["items"])) == ["None", "null"]
