@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import texts, written
+from .common import most_frequent, texts, written
 
 CLASSES = 32
 WIDTH = 32
@@ -97,16 +97,7 @@ def _ending(token: bytes) -> int:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """Classes, history keys and first scores from the training counts."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    # The least count in the dictionary, to an eighth of a power of two: so few
-    # levels reach the driver, and no task sorts the vocabulary.
-    level = F.floor(8 * F.log2("c"))
-    least, held = None, 0
-    for r in sorted(counts.groupBy(level.alias("l")).count().collect(), reverse=True):
-        held += r["count"]
-        if held > DICTIONARY:
-            break
-        least = r["l"]
-    rows = (counts.filter(F.lit(False) if least is None else level >= least).collect())
+    rows = most_frequent(counts, "token", "c", DICTIONARY).collect()
     rows.sort(key=lambda r: (-r["c"], bytes(r["token"])))
     tok = [bytes(r["token"]) for r in rows]
     c = np.array([r["c"] for r in rows], np.int64)

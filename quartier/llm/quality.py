@@ -1,12 +1,15 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a
 two-layer network with temperature-calibrated probabilities.
 
-1. Random indexing over the whole corpus: a word's vector sums the sparse random
-   index vectors of its neighbours. Words fall into ``BUCKETS`` rows by hash, so
-   the table has a fixed size; every task adds up its share and the shares are
-   summed by row block.
-2. A document is the mean of its words' vectors plus a few text statistics.
-3. A two-layer numpy network is trained on a bounded sample of labelled rows
+1. Words are counted over the whole corpus. Those met ``LEAST`` times have a row
+   of their own in the word table, at most ``DICTIONARY`` of them (the most
+   frequent); rarer and unseen words fall back on one of ``ENDINGS`` rows that
+   words of one case and ending share. So the table has a known largest size.
+2. Random indexing over the whole corpus: a word's vector sums the sparse random
+   index vectors of its neighbours. Every task adds up the rows it meets, and the
+   sums are added block by block as they stream in.
+3. A document is the mean of its words' vectors plus a few text statistics.
+4. A two-layer numpy network is trained on a bounded sample of labelled rows
    (``MAX_TRAIN``, the smallest id hashes); a part held out of it sets the
    temperature of the probabilities.
 """
@@ -14,6 +17,7 @@ two-layer network with temperature-calibrated probabilities.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -23,10 +27,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, release, texts, with_ids
+from ..session import scratch_path
+from .common import fold, most_frequent, release, texts, with_ids, written
 
 DIM = 48
-BUCKETS = 1 << 14
+#: Rows of words without one of their own.
+ENDINGS = 1 << 14
+#: Words with rows of their own, at most, and how often they are met at least.
+DICTIONARY = 1 << 17
+LEAST = 5
 #: Non-zero entries of an index vector.
 SPARSE = 4
 #: Neighbours on each side.
@@ -36,14 +45,16 @@ MAX_TRAIN = 20_000
 HIDDEN = 32
 STATS = 7
 _ROWS = 1024
-_MEMORY = 400_000
+_MEMORY = 100_000
+_FLUSH = 200_000
+_CHUNK = 500_000
 
 _WORD = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+|\n")
 
 
 def _form(word: bytes) -> bytes:
-    """A word's row key: short words are themselves, longer ones their case and
-    ending, so that unseen words share the row of similar ones."""
+    """The key of a word without a row of its own: short words are themselves,
+    longer ones their case and ending, as similar words tend to share them."""
     if len(word) <= 3 or not (word[:1].isalpha() or word[0] > 127):
         return word[:4]
     lower = word.lower()
@@ -51,98 +62,150 @@ def _form(word: bytes) -> bytes:
     return shape + b":" + lower[-3:]
 
 
-class Words:
-    """Numbers the words of texts by bucket, remembering known words."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def buckets(self, text: str) -> tuple[np.ndarray, list[bytes]]:
-        found = _WORD.findall(text.encode("utf-8", "surrogatepass"))
-        known = self.known
-        new = set(found).difference(known)
-        if new:
-            if len(known) > _MEMORY:
-                known.clear()
-                new = set(found)
-            for w in new:
-                known[w] = crc32(_form(w)) % BUCKETS
-        return np.fromiter(map(known.__getitem__, found), np.int64, len(found)), found
-
-
-def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of each bucket's sparse index vector (a fixed seed)."""
-    rng = np.random.default_rng(20240607)
-    return (rng.integers(0, DIM, (BUCKETS, SPARSE)),
-            rng.choice(np.array([-1.0, 1.0]), (BUCKETS, SPARSE)))
+def words_of(text: str) -> list[bytes]:
+    """Runs of letters, of digits and of other signs, and line ends."""
+    return _WORD.findall(text.encode("utf-8", "surrogatepass"))
 
 
-def train_vectors(docs: DataFrame) -> np.ndarray:
-    """The word table (BUCKETS x DIM, float32) of a corpus."""
+def vocabulary(docs: DataFrame) -> dict[bytes, int]:
+    """The words with rows of their own, numbered from ENDINGS on by falling count."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, sign = _index_vectors()
-        words, table = Words(), np.zeros(BUCKETS * DIM)
-
-        def add(parts: list[np.ndarray]) -> None:
-            w = np.concatenate(parts)
-            for gap in range(1, REACH + 1):
-                a, b = w[:-gap], w[gap:]
-                ok = (a >= 0) & (b >= 0)
-                # pairs are counted first: most of them repeat
-                pair, n = np.unique(a[ok] * BUCKETS + b[ok], return_counts=True)
-                a, b = pair // BUCKETS, pair % BUCKETS
-                for x, y in ((a, b), (b, a)):
-                    for j in range(SPARSE):
-                        table[:] += np.bincount(x * DIM + place[y, j], n * sign[y, j],
-                                                BUCKETS * DIM)
+        held: Counter[bytes] = Counter()
+        for b in batches:
+            for text in b["text"]:
+                held.update(words_of(text))
+                if len(held) > _FLUSH:
+                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+                    held.clear()
+        yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+        del held
+        release()
+
+    counts = written(texts(docs).select("text").mapInPandas(run, "word binary, n long")
+                     .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST),
+                     scratch_path(docs.sparkSession, "words"))
+    rows = most_frequent(counts, "word", "n", DICTIONARY).collect()
+    rows.sort(key=lambda r: (-r["n"], bytes(r["word"])))
+    return {bytes(r["word"]): ENDINGS + i for i, r in enumerate(rows)}
+
+
+class Words:
+    """Numbers the words of texts by table row, remembering those that share one."""
+
+    def __init__(self, index: dict[bytes, int]):
+        self.index = index
+        self.shared: dict[bytes, int] = {}
+
+    def _row(self, word: bytes) -> int:
+        row = self.index.get(word)
+        if row is None:
+            row = self.shared.get(word)
+        if row is None:
+            if len(self.shared) > _MEMORY:
+                self.shared.clear()
+            row = self.shared[word] = crc32(_form(word)) % ENDINGS
+        return row
+
+    def rows(self, text: str) -> tuple[np.ndarray, list[bytes]]:
+        found = words_of(text)
+        own = {w: self._row(w) for w in set(found)}
+        return np.fromiter(map(own.__getitem__, found), np.int64, len(found)), found
+
+
+def _index_vectors(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the sparse index vectors of ``n`` rows (a fixed seed)."""
+    rng = np.random.default_rng(20240607)
+    return (rng.integers(0, DIM, (n, SPARSE), dtype=np.uint8),
+            rng.integers(0, 2, (n, SPARSE), dtype=np.int8) * np.int8(2) - np.int8(1))
+
+
+def _add_neighbours(table: np.ndarray, w: np.ndarray, place: np.ndarray, sign: np.ndarray) -> None:
+    """Add the index vectors of the words up to REACH away; -1 parts texts."""
+    ids, local = np.unique(w, return_inverse=True)
+    k = len(ids)
+    sums = np.zeros(k * DIM)
+    for gap in range(1, REACH + 1):
+        a, b = local[:-gap], local[gap:]
+        ok = (ids[a] >= 0) & (ids[b] >= 0)
+        # pairs are counted first: most of them repeat
+        pair, n = np.unique(a[ok] * k + b[ok], return_counts=True)
+        a, b = pair // k, pair % k
+        for x, y in ((a, b), (b, a)):
+            at = ids[y]
+            for j in range(SPARSE):
+                sums += np.bincount(x * DIM + place[at, j], n * sign[at, j], k * DIM)
+    own = ids >= 0
+    table[ids[own]] += sums.reshape(k, DIM)[own].astype(np.float32)
+
+
+def train_vectors(docs: DataFrame, index: dict[bytes, int]) -> np.ndarray:
+    """The word table (a row per shared row, then per word of ``index``; float32)
+    of a corpus."""
+    size = ENDINGS + len(index)
+    known = docs.sparkSession.sparkContext.broadcast(index)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, sign = _index_vectors(size)
+        words, table = Words(known.value), np.zeros((size, DIM), np.float32)
         apart = np.full(REACH, -1)
         parts, held = [], 0
         for batch in batches:
             for text in batch["text"]:
-                parts += [words.buckets(text)[0], apart]
+                parts += [words.rows(text)[0], apart]
                 held += len(parts[-2])
-                if held > 1_000_000:
-                    add(parts)
+                if held > _CHUNK:
+                    _add_neighbours(table, np.concatenate(parts), place, sign)
                     parts, held = [], 0
         if parts:
-            add(parts)
-        rows = table.reshape(BUCKETS, DIM).astype(np.float32)
-        for at in range(0, BUCKETS, _ROWS):
-            yield pd.DataFrame({"block": [at], "sums": [rows[at:at + _ROWS].tobytes()]})
-        del words, table, rows, parts
+            _add_neighbours(table, np.concatenate(parts), place, sign)
+        for at in range(0, size, _ROWS):
+            block = table[at:at + _ROWS]
+            met = np.flatnonzero(block.any(axis=1)).astype(np.uint16)
+            if len(met):
+                yield pd.DataFrame({"block": [at], "met": [met.tobytes()],
+                                    "sums": [block[met].tobytes()]})
+        del words, table, parts
         release()
 
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = np.zeros(_ROWS * DIM)
-        for x in sorted(pdf["sums"]):  # a fixed order of the float sum
-            s += np.frombuffer(x, np.float32)
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])],
-                             "sums": [s.astype(np.float32).tobytes()]})
-
-    schema = "block int, sums binary"
-    parts = (texts(docs).select("text").mapInPandas(run, schema)
-             .groupBy("block").applyInPandas(total, schema).collect())
-    table = np.zeros((BUCKETS, DIM), np.float32)
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at, met, sums in zip(b["block"], b["met"], b["sums"]):
+                s = held.setdefault(int(at), np.zeros((_ROWS, DIM)))
+                # whole numbers: the order of the sum does not matter
+                s[np.frombuffer(met, np.uint16)] += np.frombuffer(sums, np.float32).reshape(-1, DIM)
+        for at, s in held.items():
+            yield pd.DataFrame({"block": [at], "sums": [s.astype(np.float32).tobytes()]})
+
+    parts = (texts(docs).select("text").mapInPandas(run, "block int, met binary, sums binary")
+             .repartition("block").mapInPandas(total, "block int, sums binary").collect())
+    table = np.zeros((size, DIM), np.float32)
     for r in parts:
-        table[r["block"]:r["block"] + _ROWS] = np.frombuffer(r["sums"], np.float32).reshape(-1, DIM)
-    norm = np.linalg.norm(table, axis=1, keepdims=True)
-    table /= np.maximum(norm, 1e-6)
-    place, sign = _index_vectors()
+        block = table[r["block"]:r["block"] + _ROWS]
+        block[:] = np.frombuffer(r["sums"], np.float32).reshape(-1, DIM)[:len(block)]
+    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
+    place, sign = _index_vectors(size)
     for j in range(SPARSE):  # a word also points at itself
-        table[np.arange(BUCKETS), place[:, j]] += (0.5 * sign[:, j]).astype(np.float32)
+        table[np.arange(size), place[:, j]] += np.float32(0.5) * sign[:, j]
     return table
 
 
+@dataclass
+class Vectors:
+    """The words with rows of their own, and the table (half floats)."""
+    index: dict[bytes, int]
+    table: np.ndarray
+
+
 def pool(words: Words, table: np.ndarray, text: str) -> np.ndarray:
     """Mean word vector and statistics of a text; zeros for one without words."""
     out = np.zeros(DIM + STATS, np.float32)
-    at, found = words.buckets(text)
+    at, found = words.rows(text)
     n = len(found)
     if not n:
         return out
     row, count = np.unique(at, return_counts=True)
-    out[:DIM] = count.astype(np.float32) @ table[row] / n
+    out[:DIM] = count.astype(np.float32) @ table[row].astype(np.float32) / n
     distinct = len(set(found))
     lines = text.split("\n")
     letters = sum(map(len, found))
@@ -229,19 +292,22 @@ def sample_ids(labels: DataFrame, train: Column) -> DataFrame:
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN))
 
 
-def train(docs: DataFrame, labels: DataFrame, is_train: Column) -> tuple[np.ndarray, Network]:
-    """(word table, network): vectors of the whole corpus, labels of the sample."""
+def train(docs: DataFrame, labels: DataFrame, is_train: Column) -> tuple[Vectors, Network]:
+    """(word vectors, network): vectors of the whole corpus, labels of the sample."""
     spark = docs.sparkSession
-    table = train_vectors(docs)
-    held = spark.sparkContext.broadcast(table)
+    index = vocabulary(docs)
+    vectors = Vectors(index, train_vectors(docs, index).astype(np.float16))
+    held = spark.sparkContext.broadcast(vectors)
     chosen = {r["doc_id"]: r["quality"] for r in sample_ids(labels, is_train).collect()}
     ids = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words()
+        words, table = Words(held.value.index), held.value.table
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "x": [
-                pool(words, held.value, t).tobytes() for t in b["text"]]})
+                pool(words, table, t).tobytes() for t in b["text"]]})
+        del words, table
+        release()
 
     rows = with_ids(texts(docs), ids).mapInPandas(run, "doc_id long, x binary")
     # of rows that repeat an id one is used, so the result stays bounded
@@ -249,23 +315,23 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column) -> tuple[np.ndar
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows],
                  np.float64).reshape(-1, DIM + STATS)
     y = np.array([chosen[r["doc_id"]] for r in rows], np.float64)
-    return table, fit(x, y)
+    return vectors, fit(x, y)
 
 
-def score(docs: DataFrame, table: np.ndarray, net: Network) -> DataFrame:
+def score(docs: DataFrame, vectors: Vectors, net: Network) -> DataFrame:
     """doc_id, score: the calibrated probability of label 1, one row per input row.
 
     Null and empty texts are scored as texts without words; a null doc_id stays
     null; repeated rows get equal scores; columns other than doc_id and text are
     ignored.
     """
-    model = docs.sparkSession.sparkContext.broadcast((table, net))
+    model = docs.sparkSession.sparkContext.broadcast((vectors, net))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors, network = model.value
-        words = Words()
+        own, network = model.value
+        words = Words(own.index)
         for b in batches:
-            x = np.array([pool(words, vectors, t) for t in b["text"]],
+            x = np.array([pool(words, own.table, t) for t in b["text"]],
                          np.float64).reshape(-1, DIM + STATS)
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": network.probability(x)})
         del words
@@ -276,8 +342,14 @@ def score(docs: DataFrame, table: np.ndarray, net: Network) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, modulus: int = 3, left_out: int = 1) -> DataFrame:
     """doc_id, held_out, score, predicted of every row. Labels are learnt from
-    rows whose crc32 of the id modulo ``modulus`` is not ``left_out``."""
-    table, net = train(docs, labels, fold(modulus) != left_out)
-    return score(docs, table, net).select(
+    rows whose crc32 of the id modulo ``modulus`` is not ``left_out``.
+
+    Null and empty texts are texts without words; a null doc_id is of no label and
+    stays null; repeated rows are counted, learnt as one label, and scored each;
+    without labels of both kinds the score is their frequency (none: 0.5); an
+    empty table gives an empty result; other columns are ignored.
+    """
+    vectors, net = train(docs, labels, fold(modulus) != left_out)
+    return score(docs, vectors, net).select(
         "doc_id", (fold(modulus) == left_out).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -67,3 +67,51 @@ def test_probabilities_sum_to_one(spark):
     # training sharpens what follows "cat"
     flat = maxent.log_probability(vocab, maxent.Weights(), batch)
     assert lp[at[words.index("sat")]] > flat[at[words.index("sat")]]
+
+
+def test_score_against_a_plain_loop(spark):
+    """One token after the other: the two softmaxes and the unigram share."""
+    docs = spark.createDataFrame([(i, f"the cat {'sat' if i % 3 else 'ran'} on mat{i % 7} near w{i} x{i * i}")
+                                  for i in range(1500)], "doc_id long, text string")
+    vocab = maxent.vocabulary(maxent.count_tokens(docs))
+    weights = maxent.train(docs, vocab, 1)
+    mask = 0xFFFFFFFF
+
+    def mix(x):
+        x = ((x ^ x >> 16) * 0x7FEB352D) & mask
+        x = ((x ^ x >> 15) * 0x846CA68B) & mask
+        return x ^ x >> 16
+
+    def softmax(scores, chosen):
+        e = [math.exp(s - max(scores)) for s in scores]
+        return e[chosen] / sum(e)
+
+    texts = ["the cat sat on mat3 near w7 x49", "cat cat unseen the", ""]
+    want = []
+    for t in texts:
+        past = [0, 0]
+        for w in t.encode().split() + [b""]:
+            i = vocab.index.get(w)
+            cls = maxent.CLASSES if i is None else int(vocab.cls[i])
+            a, b = past
+            rows = [mix((a * 4 + 1) & mask), mix((a * 0x9E3779B1 + b * 8 + 2) & mask), mix((b * 4 + 3) & mask)]
+            own = [weights.w1[r % maxent.CLASS_ROWS].astype(float) for r in rows]
+            p = softmax(list(vocab.start + sum(own)), cls)
+            if cls < maxent.CLASSES:
+                at = [mix(r ^ (cls * 0x85EBCA6B & mask)) % maxent.WORD_ROWS for r in rows]
+                inner = vocab.inner[cls] + sum(weights.w2[r].astype(float) for r in at)
+                p *= softmax(list(inner), int(vocab.slot[i]))
+            else:
+                p /= vocab.rest
+            want.append(math.log10(p))
+            key = int(vocab.key[i]) if i is not None else maxent.HEAD + crc32(w[-3:]) % maxent.ENDINGS
+            past = [key + 1, past[0]]
+    got = maxent.log_probability(vocab, weights, maxent.Batch(vocab, texts))
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_many_equal_counts_leave_a_dictionary(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "DICTIONARY", 50)
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(100)], "doc_id long, text string")
+    vocab = maxent.vocabulary(maxent.count_tokens(docs))
+    assert 30 < len(vocab.index) <= 50 and vocab.size.sum() == len(vocab.index)
