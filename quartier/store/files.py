@@ -9,6 +9,8 @@ class Files:
     def __init__(self, spark: SparkSession, base: str):
         self._jvm = spark.sparkContext._jvm
         self._path = self._jvm.org.apache.hadoop.fs.Path
+        self._paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths
+        self._text = self._jvm.org.apache.commons.lang3.ArrayUtils.toString
         self.base = base.rstrip("/")
         self._fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -20,8 +22,14 @@ class Files:
         p = self._at(folder)
         if not self._fs.exists(p):
             return []
-        found = (s.getPath().getName() for s in self._fs.listStatus(p))
-        return sorted(n for n in found if not n.startswith("."))
+        paths = self._paths(self._fs.listStatus(p))
+        if not len(paths):
+            return []
+        # all in one call: a folder may hold a name for each day of many years
+        parent = paths[0].getParent().toString()
+        found = self._text(paths)[1:-1]
+        names = f",{found}".split(f",{parent}/")[1:]
+        return sorted(n for n in names if not n.startswith("."))
 
     def read(self, name: str) -> str:
         stream = self._fs.open(self._at(name))

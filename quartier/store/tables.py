@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..operators import rollup
 from ..operators.points import POINT_COLUMNS
 from ..schema import DATAPOINT, READING
+from ..session import setting
 from .files import Files
 
 _POINT = list(DATAPOINT.fields[1:])       # metric is a partition column
@@ -73,6 +74,15 @@ LASTING = {
     "closed": T.StructType(_PARTIAL + _KEYS),
 }
 
+#: A publication writes a small file per metric and day: what AQE joins into one
+#: writing task is bounded so that few bytes in many files still have many tasks.
+_WRITER = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+#: Task commits move the files, not the driver one after the other: nothing refers
+#: to a folder before its manifest, so half a folder is never seen.
+_COMMITTER = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+#: Folders are listed by some tasks per core, not by one task per folder.
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 Part = tuple[str, str]        # metric, ISO day
 
 
@@ -192,9 +202,11 @@ class Store:
         it reads few row groups. Nothing refers to the folder yet."""
         folder = f"tables/{table}/v={uuid.uuid4().hex[:16]}"
         cols = [f.name for f in TABLES[table]]
-        (df.select(*cols).hint("rebalance", "metric", "day")
-         .sortWithinPartitions("metric", "day", *order)
-         .write.partitionBy("metric", "day").parquet(f"{self.base}/{folder}"))
+        with setting(self.spark, *_WRITER):
+            (df.select(*cols).hint("rebalance", "metric", "day")
+             .sortWithinPartitions("metric", "day", *order)
+             .write.option(*_COMMITTER).partitionBy("metric", "day")
+             .parquet(f"{self.base}/{folder}"))
         return folder
 
     def read(self, table: str, metric: str | None = None, first: date | None = None,
@@ -215,8 +227,9 @@ class Store:
             paths += [f"{self.base}/{f}/metric={name}/day={day}" for f in folders]
         if not paths:
             return self.spark.createDataFrame([], TABLES[table])
-        df = (self.spark.read.schema(TABLES[table])
-              .option("basePath", f"{self.base}/tables/{table}").parquet(*paths).drop("v"))
+        with setting(self.spark, _LISTING, str(4 * self.spark.sparkContext.defaultParallelism)):
+            df = (self.spark.read.schema(TABLES[table])
+                  .option("basePath", f"{self.base}/tables/{table}").parquet(*paths).drop("v"))
         if metric is not None:
             df = df.filter(F.col("metric") == metric)
         if first is not None:
