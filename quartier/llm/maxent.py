@@ -10,15 +10,16 @@ feature rows: bigram and trigram histories and a skip feature.
 Counts cover all training rows. The weights are trained by distributed gradient
 updates: in each round every task runs minibatches over its part of the round's
 documents from the shared weights and returns its change; changes are averaged
-per feature row, weighted by how often a task met the row. Texts are scored in
-numpy batches that gather the few active rows; tokens outside the broadcast
-dictionary (of bounded size) get their counts by a join.
+per feature row, weighted by how often a task met the row. Texts are looked up in
+the dictionary once and written as token numbers, which every round and the scoring
+read. They are scored in numpy batches that gather the few active rows; tokens
+outside the broadcast dictionary (of bounded size) get their counts by a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import repeat
 from zlib import crc32
 
@@ -44,6 +45,8 @@ ROUNDS = 3
 RATE = 0.3
 _FLUSH = 1_000_000
 _CHUNK = 60_000
+_SCORED = 8192
+_PART = 4096
 _BLOCK = 1024
 
 #: The end of a text: no word is empty.
@@ -134,31 +137,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
+def encode(vocab: Vocabulary, text: str) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers of a text's tokens (int32), and its tokens outside the dictionary:
+    they are numbered -1 minus their ending."""
+    found = tokens(text)
+    codes = np.fromiter(map(vocab.index.get, found, repeat(-1)), np.int32, len(found))
+    unknown = np.flatnonzero(codes < 0)
+    missing = [found[i] for i in unknown.tolist()]
+    codes[unknown] = [-1 - crc32(t[-3:]) % ENDINGS for t in missing]
+    return codes, missing
+
+
 class Batch:
-    """Tokens of some texts, flat."""
-
-    def __init__(self, vocab: Vocabulary, batch: list[str]):
-        get = vocab.index.get
-        found = [tokens(t) for t in batch]
-        self.sizes = np.array([len(f) for f in found], np.int64)
-        ids = np.concatenate([np.fromiter(map(get, f, repeat(-1)), np.int64, len(f))
-                              for f in found])
-        self.ids = ids
-        unknown = np.flatnonzero(ids < 0)
-        key = vocab.key[ids] if len(vocab.key) else np.zeros(len(ids), np.int64)
+    """Tokens of some texts, flat; the texts may be given by their numbers."""
+
+    def __init__(self, vocab: Vocabulary, batch: list[str], codes: list[np.ndarray] | None = None):
+        if codes is None:
+            codes = [encode(vocab, t)[0] for t in batch]
+        self.sizes = np.array([len(c) for c in codes], np.int64)
+        flat = np.concatenate(codes).astype(np.int64)
+        known = flat >= 0
+        self.ids = ids = np.where(known, flat, -1)
+        key = np.where(known, vocab.key[ids] if len(vocab.key) else 0, HEAD - 1 - flat)
         ends = np.cumsum(self.sizes)
-        self.doc = np.repeat(np.arange(len(found)), self.sizes)
-        #: tokens outside the dictionary, and how many each text has
-        self.missing: list[bytes] = []
-        if len(unknown):
-            begin = (ends - self.sizes)[self.doc[unknown]]
-            flat = [found[d][i] for d, i in zip(self.doc[unknown].tolist(),
-                                                (unknown - begin).tolist())]
-            tail = np.fromiter((crc32(t[-3:]) for t in flat), np.int64, len(flat))
-            key[unknown] = HEAD + tail % ENDINGS
-            self.missing = flat
-        self.missed = np.bincount(self.doc[unknown], minlength=len(found))
-        known = ids >= 0
+        self.doc = np.repeat(np.arange(len(codes)), self.sizes)
         self.cls = np.where(known, vocab.cls[ids] if len(vocab.cls) else CLASSES, CLASSES)
         self.slot = np.where(self.cls < CLASSES, vocab.slot[ids] if len(vocab.slot) else 0, 0)
         # history keys: 1 + key, 0 before the text
@@ -203,14 +205,25 @@ def _gather(first: np.ndarray, w: np.ndarray, rows: list[np.ndarray]) -> np.ndar
     return s
 
 
+def _probabilities(w: np.ndarray, rows: list[np.ndarray], first) -> np.ndarray:
+    """Softmax per token; ``first(part)`` gives the first scores of a part, and
+    parts are small, so that they stay in the processor's cache."""
+    n = len(rows[0])
+    out = np.empty((n, w.shape[1]), np.float32)
+    for lo in range(0, n, _PART):
+        k = slice(lo, lo + _PART)
+        out[k] = _softmax(_gather(first(k), w, [r[k] for r in rows]))
+    return out
+
+
 def log_probability(vocab: Vocabulary, weights: Weights, batch: Batch) -> np.ndarray:
     """log10 p(token | history) per token; a token of the rest class gets the
     class's part and 1 / rest, i.e. lacks log10(c + 1)."""
     n = len(batch.ids)
     out = np.empty(n)
     first, inner = vocab.start.astype(np.float32), vocab.inner.astype(np.float32)
-    for lo in range(0, n, _CHUNK):
-        part = slice(lo, min(lo + _CHUNK, n))
+    for lo in range(0, n, _SCORED):
+        part = slice(lo, min(lo + _SCORED, n))
         cls = batch.cls[part]
         q = _log_chosen(_gather(first, weights.w1, batch.class_rows(part)), cls)
         at = np.flatnonzero(cls < CLASSES)
@@ -235,7 +248,8 @@ class Learner:
     def _update(self, layer: int, rows: list[np.ndarray], grad: np.ndarray) -> None:
         w = self.layers[layer]
         width = grad.shape[1]
-        flat = grad.astype(np.float64).ravel()
+        # column by column: what is being added up stays in the processor's cache
+        columns = np.ascontiguousarray(grad.T, np.float64)
         for r in rows:
             order = np.argsort(r.astype(np.uint16), kind="stable")  # a radix sort
             sorted_rows = r[order]
@@ -243,8 +257,9 @@ class Learner:
             number = np.empty(len(r), np.int64)
             number[order] = np.cumsum(new) - 1
             row = sorted_rows[new]
-            g = np.bincount((number[:, None] * width + np.arange(width)).ravel(), flat,
-                            len(row) * width).reshape(-1, width).astype(np.float32)
+            g = np.empty((len(row), width), np.float32)
+            for c in range(width):
+                g[:, c] = np.bincount(number, columns[c], len(row))
             self.met[layer][row] += np.bincount(number, minlength=len(row))
             self.power[layer][row] += (g * g).sum(axis=1)
             w[row] -= RATE * g / np.sqrt(self.power[layer][row] + 1.0)[:, None]
@@ -256,14 +271,15 @@ class Learner:
             part = slice(lo, min(lo + _CHUNK // 4, n))
             cls = batch.cls[part]
             rows = batch.class_rows(part)
-            p = _softmax(_gather(first, self.layers[0], rows))
+            p = _probabilities(self.layers[0], rows, lambda k: first)
             p[np.arange(len(cls)), cls] -= 1
             self._update(0, rows, p)
             at = np.flatnonzero(cls < CLASSES)
             if len(at):
                 g = at + lo
                 rows = batch.word_rows(g)
-                p = _softmax(_gather(inner[cls[at]], self.layers[1], rows))
+                own = cls[at]
+                p = _probabilities(self.layers[1], rows, lambda k: inner[own[k]])
                 p[np.arange(len(at)), batch.slot[g]] -= 1
                 self._update(1, rows, p)
 
@@ -279,7 +295,7 @@ class Learner:
 
 def _pieces(b: pd.DataFrame, limit: int = 400_000) -> Iterator[pd.DataFrame]:
     """Parts of a batch with about ``limit`` characters each."""
-    size = b["text"].str.len().to_numpy().cumsum()
+    size = b["n_chars"].to_numpy().cumsum()
     cut = np.searchsorted(size, np.arange(limit, size[-1], limit)) + 1 if len(b) else []
     at = 0
     for end in [*np.unique(cut).tolist(), len(b)]:
@@ -288,11 +304,36 @@ def _pieces(b: pd.DataFrame, limit: int = 400_000) -> Iterator[pd.DataFrame]:
         at = end
 
 
+def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``docs`` with token numbers instead of the text: n_chars, codes (int32),
+    and words, the tokens outside the dictionary."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+    keep = [f for f in docs.schema if f.name != "text"]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in keep]
+                       + ["n_chars long", "codes binary", "words array<binary>"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [encode(shared.value, t) for t in b["text"]]
+            yield b.drop(columns="text").assign(
+                n_chars=[len(t) for t in b["text"]], codes=[c.tobytes() for c, _ in found],
+                words=[m for _, m in found])
+
+    return docs.mapInPandas(run, schema)
+
+
+def _batch(vocab: Vocabulary, part: pd.DataFrame) -> Batch:
+    return Batch(vocab, [], [np.frombuffer(c, np.int32) for c in part["codes"]])
+
+
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Weights:
-    """Every document is learnt from once, in the round its id's hash names."""
+    """Every document (texts, or ``encoded`` ones) is learnt from once, in the
+    round its id's hash names."""
     spark = docs.sparkSession
+    if "codes" not in docs.columns:
+        docs = encoded(docs.select("doc_id", "text"), vocab)
     weights = Weights()
-    shared = spark.sparkContext.broadcast(vocab)
+    shared = spark.sparkContext.broadcast(replace(vocab, index={}))
     schema = "layer int, at int, change binary, met binary"
 
     def average(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -314,12 +355,12 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Weights:
             learner, met = Learner(Weights(*held.value)), False
             for b in batches:
                 for part in _pieces(b):
-                    learner.learn(shared.value, Batch(shared.value, part["text"].tolist()))
+                    learner.learn(shared.value, _batch(shared.value, part))
                     met = True
             if met:
                 yield from learner.changes()
 
-        rows = (docs.filter(turn == r).select("text").mapInPandas(run, schema)
+        rows = (docs.filter(turn == r).select("n_chars", "codes").mapInPandas(run, schema)
                 .groupBy("layer", "at").applyInPandas(average, schema).collect())
         w1, w2 = weights.w1.copy(), weights.w2.copy()
         for row in rows:
@@ -344,8 +385,10 @@ def score(docs: DataFrame, is_train: Column) -> DataFrame:
     own = d.filter("is_train")
     counts = written(count_tokens(own), scratch_path(spark, "lm-counts"))
     vocab = vocabulary(counts)
-    weights = train(own, vocab)
-    model = spark.sparkContext.broadcast((vocab, weights.w1, weights.w2))
+    d = written(encoded(d.withColumn("row", F.monotonically_increasing_id()), vocab),
+                scratch_path(spark, "lm-codes"))
+    weights = train(d.filter("is_train"), vocab)
+    model = spark.sparkContext.broadcast((replace(vocab, index={}), weights.w1, weights.w2))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab, w1, w2 = model.value
@@ -353,33 +396,29 @@ def score(docs: DataFrame, is_train: Column) -> DataFrame:
         logc = np.append(vocab.logc, 0.0)  # -1: to be joined
         for b in batches:
             for part in _pieces(b):
-                batch = Batch(vocab, part["text"].tolist())
+                batch = _batch(vocab, part)
                 k = len(part)
                 lp = log_probability(vocab, w, batch)
                 lc = logc[batch.ids]
                 lp[batch.cls == CLASSES] += lc[batch.cls == CLASSES]
-                ends = np.cumsum(batch.missed).tolist()
-                missing = [batch.missing[i:j] for i, j in zip([0, *ends], ends)]
                 yield pd.DataFrame({
                     "row": part["row"].to_numpy(), "doc_id": part["doc_id"].to_numpy(),
                     "is_train": part["is_train"].to_numpy(), "n_tokens": batch.sizes,
                     "n_known": np.bincount(batch.doc, batch.ids >= 0, k).astype(np.int64),
                     "base": np.bincount(batch.doc, lc, k),
-                    "lp": np.bincount(batch.doc, lp, k),
-                    "words": missing}).astype({"doc_id": "Int64"})
+                    "lp": np.bincount(batch.doc, lp, k)}).astype({"doc_id": "Int64"})
 
     schema = ("row long, doc_id long, is_train boolean, n_tokens long, n_known long, "
-              "base double, lp double, words array<binary>")
-    rows = written(d.withColumn("row", F.monotonically_increasing_id())
-                   .select("row", "doc_id", "is_train", "text").mapInPandas(run, schema),
-                   scratch_path(spark, "lm-rows"))
+              "base double, lp double")
+    rows = written(d.select("row", "doc_id", "is_train", "n_chars", "codes")
+                   .mapInPandas(run, schema), scratch_path(spark, "lm-rows"))
     # Tokens outside the dictionary are rare ones: no hot key in this join.
-    rare = rows.select("row", F.explode("words").alias("token")).join(
+    rare = d.select("row", F.explode("words").alias("token")).join(
         counts, "token").groupBy("row").agg(
         F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("known"))
     norm = float(np.log10(vocab.n + vocab.v + 1))
     more = F.coalesce("more", F.lit(0.0))
-    return (rows.drop("words").join(rare, "row", "left").select(
+    return (rows.join(rare, "row", "left").select(
         "doc_id", (~F.col("is_train")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(vocab.n).cast("long").alias("train_tokens"),
