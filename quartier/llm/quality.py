@@ -48,6 +48,7 @@ _ROWS = 1024
 _MEMORY = 100_000
 _FLUSH = 200_000
 _CHUNK = 500_000
+_PAIRS = 1 << 15
 
 _WORD = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+|\n")
 
@@ -89,27 +90,25 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     return {bytes(r["word"]): ENDINGS + i for i, r in enumerate(rows)}
 
 
-class Words:
+class Words(dict):
     """Numbers the words of texts by table row, remembering those that share one."""
 
     def __init__(self, index: dict[bytes, int]):
-        self.index = index
-        self.shared: dict[bytes, int] = {}
-
-    def _row(self, word: bytes) -> int:
-        row = self.index.get(word)
-        if row is None:
-            row = self.shared.get(word)
-        if row is None:
-            if len(self.shared) > _MEMORY:
-                self.shared.clear()
-            row = self.shared[word] = crc32(_form(word)) % ENDINGS
+        super().__init__(index)
+        self._shared: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self._shared) > _MEMORY:
+            for w in self._shared:
+                del self[w]
+            self._shared.clear()
+        self._shared.append(word)
+        row = self[word] = crc32(_form(word)) % ENDINGS
         return row
 
     def rows(self, text: str) -> tuple[np.ndarray, list[bytes]]:
         found = words_of(text)
-        own = {w: self._row(w) for w in set(found)}
-        return np.fromiter(map(own.__getitem__, found), np.int64, len(found)), found
+        return np.fromiter(map(self.__getitem__, found), np.int64, len(found)), found
 
 
 def _index_vectors(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,21 +120,30 @@ def _index_vectors(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _add_neighbours(table: np.ndarray, w: np.ndarray, place: np.ndarray, sign: np.ndarray) -> None:
     """Add the index vectors of the words up to REACH away; -1 parts texts."""
-    ids, local = np.unique(w, return_inverse=True)
+    met = np.zeros(len(table) + 1, bool)     # the last one is of -1
+    met[w] = True
+    ids = np.flatnonzero(met[:-1])
     k = len(ids)
-    sums = np.zeros(k * DIM)
+    number = np.full(len(table) + 1, -1)
+    number[ids] = np.arange(k)
+    local = number[w]
+    keys = []
     for gap in range(1, REACH + 1):
         a, b = local[:-gap], local[gap:]
-        ok = (ids[a] >= 0) & (ids[b] >= 0)
-        # pairs are counted first: most of them repeat
-        pair, n = np.unique(a[ok] * k + b[ok], return_counts=True)
-        a, b = pair // k, pair % k
-        for x, y in ((a, b), (b, a)):
-            at = ids[y]
-            for j in range(SPARSE):
-                sums += np.bincount(x * DIM + place[at, j], n * sign[at, j], k * DIM)
-    own = ids >= 0
-    table[ids[own]] += sums.reshape(k, DIM)[own].astype(np.float32)
+        ok = (a >= 0) & (b >= 0)
+        a, b = a[ok], b[ok]
+        keys += [a * k + b, b * k + a]
+    # pairs are counted first: most of them repeat
+    pair, n = np.unique(np.concatenate(keys), return_counts=True)
+    del keys
+    # then taken in order of their first word, so that few sums are open at a time
+    for at in range(0, len(pair), _PAIRS):
+        x, y = np.divmod(pair[at:at + _PAIRS], k)
+        y, low = ids[y], int(x[0])
+        cell = ((x - low) * DIM)[:, None] + place[y]
+        sums = np.bincount(cell.ravel(), (n[at:at + _PAIRS, None] * sign[y]).ravel(),
+                           (int(x[-1]) - low + 1) * DIM)
+        table[ids[low:int(x[-1]) + 1]] += sums.reshape(-1, DIM).astype(np.float32)
 
 
 def train_vectors(docs: DataFrame, index: dict[bytes, int]) -> np.ndarray:
@@ -200,13 +208,19 @@ class Vectors:
 def pool(words: Words, table: np.ndarray, text: str) -> np.ndarray:
     """Mean word vector and statistics of a text; zeros for one without words."""
     out = np.zeros(DIM + STATS, np.float32)
-    at, found = words.rows(text)
+    found = words_of(text)
     n = len(found)
     if not n:
         return out
-    row, count = np.unique(at, return_counts=True)
+    own = dict.fromkeys(found)
+    distinct = len(own)
+    rows = np.fromiter(map(words.__getitem__, own), np.int64, distinct)
+    own.update(zip(own, range(distinct)))
+    at = np.fromiter(map(own.__getitem__, found), np.int64, n)
+    row, of = np.unique(rows, return_inverse=True)
+    count = np.bincount(of[at])
     out[:DIM] = count.astype(np.float32) @ table[row].astype(np.float32) / n
-    distinct = len(set(found))
+    pairs = np.sort(at[:-1] * distinct + at[1:])
     lines = text.split("\n")
     letters = sum(map(len, found))
     out[DIM:] = (np.log1p(n), distinct / n, np.log(distinct + 1) / np.log(n + 1.5), letters / n / 10,
