@@ -95,15 +95,14 @@ class Words(dict):
 
     def __init__(self, index: dict[bytes, int]):
         super().__init__(index)
-        self._shared: list[bytes] = []
+        self.shared: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
-        if len(self._shared) > _MEMORY:
-            for w in self._shared:
-                del self[w]
-            self._shared.clear()
-        self._shared.append(word)
-        row = self[word] = crc32(_form(word)) % ENDINGS
+        row = self.shared.get(word)
+        if row is None:
+            if len(self.shared) > _MEMORY:
+                self.shared.clear()
+            row = self.shared[word] = crc32(_form(word)) % ENDINGS
         return row
 
     def rows(self, text: str) -> tuple[np.ndarray, list[bytes]]:
@@ -217,8 +216,7 @@ def pool(words: Words, table: np.ndarray, text: str) -> np.ndarray:
     rows = np.fromiter(map(words.__getitem__, own), np.int64, distinct)
     own.update(zip(own, range(distinct)))
     at = np.fromiter(map(own.__getitem__, found), np.int64, n)
-    row, of = np.unique(rows, return_inverse=True)
-    count = np.bincount(of[at])
+    row, count = np.unique(rows[at], return_counts=True)
     out[:DIM] = count.astype(np.float32) @ table[row].astype(np.float32) / n
     pairs = np.sort(at[:-1] * distinct + at[1:])
     lines = text.split("\n")
