@@ -47,7 +47,7 @@ STATS = 7
 _ROWS = 1024
 _MEMORY = 100_000
 _FLUSH = 200_000
-_CHUNK = 500_000
+_CHUNK = 125_000
 _PAIRS = 1 << 15
 
 _WORD = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+|\n")
@@ -58,9 +58,9 @@ def _form(word: bytes) -> bytes:
     longer ones their case and ending, as similar words tend to share them."""
     if len(word) <= 3 or not (word[:1].isalpha() or word[0] > 127):
         return word[:4]
-    lower = word.lower()
-    shape = b"u" if word == word.upper() else b"l" if word == lower else b"t"
-    return shape + b":" + lower[-3:]
+    if word.islower():
+        return b"l:" + word[-3:]
+    return (b"u:" if word == word.upper() else b"t:") + word[-3:].lower()
 
 
 def words_of(text: str) -> list[bytes]:
@@ -85,24 +85,30 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     counts = written(texts(docs).select("text").mapInPandas(run, "word binary, n long")
                      .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST),
                      scratch_path(docs.sparkSession, "words"))
-    rows = most_frequent(counts, "word", "n", DICTIONARY).collect()
-    rows.sort(key=lambda r: (-r["n"], bytes(r["word"])))
-    return {bytes(r["word"]): ENDINGS + i for i, r in enumerate(rows)}
+    # as a table: a row object of every word would take many times its bytes
+    rows = (most_frequent(counts, "word", "n", DICTIONARY).toArrow()
+            .sort_by([("n", "descending"), ("word", "ascending")]))
+    index = {w: ENDINGS + i for i, w in enumerate(rows.column("word").to_pylist())}
+    del rows
+    release()
+    return index
 
 
 class Words(dict):
-    """Numbers the words of texts by table row, remembering those that share one."""
+    """Numbers the words of texts by table row, remembering the shared rows' keys
+    (most words that share one are met once; their endings are met often)."""
 
     def __init__(self, index: dict[bytes, int]):
         super().__init__(index)
         self.shared: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
-        row = self.shared.get(word)
+        form = _form(word)
+        row = self.shared.get(form)
         if row is None:
             if len(self.shared) > _MEMORY:
                 self.shared.clear()
-            row = self.shared[word] = crc32(_form(word)) % ENDINGS
+            row = self.shared[form] = crc32(form) % ENDINGS
         return row
 
     def rows(self, text: str) -> tuple[np.ndarray, list[bytes]]:
@@ -185,12 +191,13 @@ def train_vectors(docs: DataFrame, index: dict[bytes, int]) -> np.ndarray:
             yield pd.DataFrame({"block": [at], "sums": [s.astype(np.float32).tobytes()]})
 
     parts = (texts(docs).select("text").mapInPandas(run, "block int, met binary, sums binary")
-             .repartition("block").mapInPandas(total, "block int, sums binary").collect())
+             .repartition("block").mapInPandas(total, "block int, sums binary").toArrow())
     table = np.zeros((size, DIM), np.float32)
-    for r in parts:
-        block = table[r["block"]:r["block"] + _ROWS]
-        block[:] = np.frombuffer(r["sums"], np.float32).reshape(-1, DIM)[:len(block)]
-    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
+    for at, sums in zip(parts.column("block").to_pylist(), parts.column("sums")):
+        block = table[at:at + _ROWS]
+        block[:] = np.frombuffer(sums.as_buffer(), np.float32).reshape(-1, DIM)[:len(block)]
+        block /= np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-6)
+    parts = sums = None
     place, sign = _index_vectors(size)
     for j in range(SPARSE):  # a word also points at itself
         table[np.arange(size), place[:, j]] += np.float32(0.5) * sign[:, j]
@@ -216,14 +223,17 @@ def pool(words: Words, table: np.ndarray, text: str) -> np.ndarray:
     rows = np.fromiter(map(words.__getitem__, own), np.int64, distinct)
     own.update(zip(own, range(distinct)))
     at = np.fromiter(map(own.__getitem__, found), np.int64, n)
-    row, count = np.unique(rows[at], return_counts=True)
+    met = np.bincount(at)
+    order = np.argsort(rows, kind="stable")
+    row, first = np.unique(rows[order], return_index=True)
+    count = np.add.reduceat(met[order], first)
     out[:DIM] = count.astype(np.float32) @ table[row].astype(np.float32) / n
     pairs = np.sort(at[:-1] * distinct + at[1:])
     lines = text.split("\n")
-    letters = sum(map(len, found))
+    letters = len(b"".join(found))
     out[DIM:] = (np.log1p(n), distinct / n, np.log(distinct + 1) / np.log(n + 1.5), letters / n / 10,
                  len(set(lines)) / len(lines), count.max() / n,
-                 len(set(zip(found, found[1:]))) / n)
+                 (np.count_nonzero(np.diff(pairs)) + (n > 1)) / n)
     return out
 
 
@@ -327,7 +337,10 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column) -> tuple[Vectors
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows],
                  np.float64).reshape(-1, DIM + STATS)
     y = np.array([chosen[r["doc_id"]] for r in rows], np.float64)
-    return vectors, fit(x, y)
+    net = fit(x, y)
+    del rows, x, y
+    release()
+    return vectors, net
 
 
 def score(docs: DataFrame, vectors: Vectors, net: Network) -> DataFrame:

@@ -38,3 +38,33 @@ def test_shared_rows_are_remembered_up_to_a_bound(monkeypatch):
         assert all(r < quality.ENDINGS for r in rows[1:-1]) and len(words) + len(words.shared) <= len(own) + 6
         assert np.array_equal(rows, quality.Words(own).rows(f"the new{i}word cat")[0])
     assert len(own) == 2
+
+
+def test_rare_words_are_remembered_by_ending():
+    """Words met once cost no memory of their own; forms are those of the plain rule."""
+    def plain(word):
+        if len(word) <= 3 or not (word[:1].isalpha() or word[0] > 127):
+            return word[:4]
+        lower = word.lower()
+        shape = b"u" if word == word.upper() else b"l" if word == lower else b"t"
+        return shape + b":" + lower[-3:]
+
+    words = quality.Words({})
+    words.rows(" ".join(f"{a}{b}{c}ing" for a in "bcdfgh" for b in "aeiou" for c in "klmnprst"))
+    assert len(words.shared) == 1 and not len(words)
+    for word in (b"ABCD", b"abcd", b"Abcd", b"aBCD", b"abcD", "éàüö".encode(), "Éabc".encode(),
+                 "éABC".encode(), "日本".encode(), b"12345", b"1", b"--==--", b"abc", b"ABC"):
+        assert quality._form(word) == plain(word)
+
+
+def test_neighbours_are_summed_in_chunks_of_little_memory():
+    size = 40_000
+    place, sign = quality._index_vectors(size)
+    rng = np.random.default_rng(4)
+    w = rng.integers(0, size, quality._CHUNK)
+    table = np.zeros((size, quality.DIM), np.float32)
+    tracemalloc.start()
+    quality._add_neighbours(table, w, place, sign)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6                   # 28 MB; 111 MB with chunks of 500 000 words
