@@ -35,8 +35,11 @@ WINDOW = 2048
 SHARD_DOCS = 1000
 #: Terms of a seed that are asked for: those of the largest BM25 weight.
 QUERY_TERMS = 32
-#: Documents encoded at once; the more, the fewer times a word is looked up.
-BATCH = 2000
+#: Documents encoded at once, and bytes of their texts, about; the more, the fewer
+#: times a word is looked up and the more a worker holds.
+BATCH, BATCH_BYTES = 1000, 4 << 20
+#: Bytes of texts whose ids are counted in 32 bits.
+_SMALL = 1 << 26
 #: Neighbours looked at for one that fits before one is cut.
 LOOK = 16
 K1, B = 1.2, 0.75
@@ -183,16 +186,25 @@ class Encoder:
         words = pc.utf8_split_whitespace(pc.if_else(apart, "", batch))
         coded = words.flatten().dictionary_encode()
         found, pair = self._pieces(coded.dictionary)
+        # places fit 32 bits unless the texts are huge (normalising lengthens some)
+        place = np.int32 if batch.nbytes < _SMALL else np.int64
         size = np.fromiter(map(len, found), np.int32, len(found)) // self.dtype.itemsize
         pool = np.frombuffer(b"".join(found), self.dtype)
         piece = pair[coded.indices.to_numpy()].ravel()
+        cut = words.offsets.to_numpy()
+        cut = 2 * (cut - cut[0])
+        del found, pair, coded, words
         length = size[piece]
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length, dtype=np.int64)])
-        at = np.repeat((np.cumsum(size, dtype=np.int64) - size)[piece] - ends[:-1], length)
-        at += np.arange(ends[-1])
+        ends = np.zeros(len(piece) + 1, place)
+        np.cumsum(length, dtype=place, out=ends[1:])
+        first = (np.cumsum(size, dtype=place) - size).astype(place)[piece]
+        first -= ends[:-1]
+        del piece
+        at = np.repeat(first, length)
+        at += np.arange(len(at), dtype=place)
         ids = pool[at]
-        cut = words.offsets.to_numpy()
-        cut = ends[2 * (cut - cut[0])]
+        cut = ends[cut]
+        del at, first, length, ends
         out = [np.append(ids[a:b], self.end) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
         for i in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():
             text = batch[i].as_py()
@@ -222,8 +234,7 @@ def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFr
         enc = Encoder(path, end)
         df = np.zeros(-(-max(enc.tok.get_vocab_size(), end + 1) // _TERMS) * _TERMS, np.int64)
         for b in batches:
-            for at in range(0, b.num_rows, BATCH):
-                part = b.slice(at, BATCH)
+            for part in _parts(b):
                 total, cols = [], ([], [], [], [])
                 for ids in enc.arrays(part.column("text")):
                     n = len(ids)
@@ -249,6 +260,18 @@ def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFr
             .withColumn("row", F.monotonically_increasing_id()))
 
 
+def _parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most BATCH documents, and of about BATCH_BYTES."""
+    size = np.cumsum(pc.binary_length(b.column("text")).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < b.num_rows:
+        before = size[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + BATCH_BYTES, "right")))
+        end = min(end, at + BATCH)
+        yield b.slice(at, end - at)
+        at = end
+
+
 def _batch(doc_id: pa.Array, total: list[int], cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [doc_id, pa.array(total, pa.int64()), *[pa.array(c, pa.binary()) for c in cols]],
