@@ -232,6 +232,7 @@ def encode(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFr
     ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path, end)
+        release()    # what reading the vocabulary took
         df = np.zeros(-(-max(enc.tok.get_vocab_size(), end + 1) // _TERMS) * _TERMS, np.int64)
         for b in batches:
             for part in _parts(b):
