@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartier.llm import decontaminate, jaccard, packing, quality, substrings
-from quartier.llm.common import NO_ID, fold, table, with_ids, written
+from quartier.llm.common import NO_ID, fold, table, with_ids, without_ids, written
 from quartier.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,9 +63,10 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Of each group of near copies the row of the smallest id stays (of rows
     that share it, one); rows that share an id but not the text are no copies."""
     keyed = _keyed(spark, docs)
-    kept = (jaccard.join(_by_row(keyed), n=SHINGLE, percent=PERCENT)
-            .filter("doc_id = component_id").select("doc_id"))
-    return _kept(keyed, written(kept, scratch_path(spark, "kept")))
+    copies = (jaccard.join(_by_row(keyed), n=SHINGLE, percent=PERCENT)
+              .filter("doc_id <> component_id").select(F.col("doc_id").alias("row")))
+    # the fewer rows are what the filter holds: those that go
+    return without_ids(keyed, written(copies, scratch_path(spark, "copies")), "row").select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

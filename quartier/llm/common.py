@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 # The bytes that separate words.
 ASCII_SPACE = r"[\x20\x09-\x0D]"
 
-#: Ids of at most this many rows are broadcast (8 bytes each); beyond it the
-#: same filter is a shuffled join.
-BROADCAST_IDS = 2_000_000
+#: Ids of at most this many rows are broadcast: with its hash table an id takes
+#: some 50 bytes of the driver, several times over while it is built. Beyond it
+#: a table of bits is broadcast, and rows whose bit is set meet the ids in a
+#: shuffled join.
+BROADCAST_IDS = 500_000
+
+#: Bits that stand for a set of ids, however many (8 MB).
+ID_BITS = 1 << 26
+_BUCKET_BITS = 1 << 15     # of one value of bitmap_construct_agg
 
 #: Stands for a null doc_id inside operators: larger than every real id.
 NO_ID = 2**63 - 1
@@ -59,8 +65,29 @@ def with_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def _by_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return df.join(ids, key, how)
+        return df.join(F.broadcast(ids), key, how)
+    likely = likely_ids(df, ids, key).join(ids, key, how)
+    if how == "left_semi":
+        return likely
+    return _by_bits(df, ids, key, "left_anti").unionByName(likely)
+
+
+def likely_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``df`` whose key is in ``ids`` and some others, whose keys share a
+    bit with one. What reaches the driver does not grow with the ids."""
+    return _by_bits(df, ids, key, "left_semi")
+
+
+def _by_bits(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi or anti join with the bits of the ids; a null key has none."""
+    at = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(ID_BITS))
+    bucket, place = F.floor(at / _BUCKET_BITS), at % _BUCKET_BITS
+    bits = (ids.filter(F.col(key).isNotNull()).select(bucket.alias("_bucket"), place.alias("_place"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bits")))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.floor(byte.cast("int") / F.pow(F.lit(2), place % 8)) % 2 == 1
+    return df.join(F.broadcast(bits), F.col(key).isNotNull() & (bucket == F.col("_bucket")) & is_set,
+                   how)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
